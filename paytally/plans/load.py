@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +25,6 @@ from paytally.sources import scan_payments
 # Unknown ids are broadcast against the pairs up to this many (8 bytes each).
 MAX_BROADCAST_IDS = 1_000_000
 
-# The per-user tables and the column of the daily totals that each one keeps.
-USER_METRICS = {
-    "sender_activity": "send_freq",
-    "receiver_activity": "recv_freq",
-    "net_spending": "amount_cents",
-}
-
 
 class MissingAmounts(ValueError):
     """No payment of the source carries ``amount_cents``."""
@@ -72,6 +66,16 @@ def _known_pairs(pairs: DataFrame, totals: DataFrame, users: DataFrame) -> DataF
     return pairs
 
 
+def _side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
+    """Run independent writes at the same time, so that their small last stages
+    fill the cluster together. The first failure is raised after all have ended.
+    """
+    target = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        running = {name: pool.submit(target(job)) for name, job in jobs.items()}
+    return {name: done.result() for name, done in running.items()}
+
+
 def load_payments(
     payments: DataFrame, warehouse: Warehouse, tables: Iterable[str] = tuple(TABLES)
 ) -> dict[str, int]:
@@ -86,7 +90,6 @@ def load_payments(
     wanted = set(tables)
     if not wanted <= set(TABLES):
         raise ValueError(f"unknown tables: {sorted(wanted - set(TABLES))}")
-    user_metrics = [t for t in USER_METRICS if t in wanted]
 
     path = scratch_path(spark, "payments")
     written = {}
@@ -96,7 +99,7 @@ def load_payments(
         if "users" in wanted:
             dim = users_dim(user_mentions(staged))
             written["users"] = insert_ignore(dim, warehouse, "users", unique=True)
-        if user_metrics or "pair_activity" in wanted:
+        if wanted - {"users"}:
             users = warehouse.read_table("users")
             ids = users.select(F.col("id"), F.lit(True).alias("listed"))
             daily = user_day_totals(staged)
@@ -106,19 +109,21 @@ def load_payments(
                 .persist(StorageLevel.MEMORY_AND_DISK)
             )
             days = BatchDays.of(totals)
-            checked = {"unique": True, "known_users": True, "days": days}
-            known = totals.where("known")
-            for table in user_metrics:
-                measure = USER_METRICS[table]
-                empty = F.col(measure).isNull() | (
-                    F.lit(measure != "amount_cents") & (F.col(measure) == 0)
-                )
-                written[table] = insert_ignore(known.where(~empty), warehouse, table, **checked)
-            if "pair_activity" in wanted:
-                pairs = _known_pairs(pair_activity(staged), totals, users)
-                written["pair_activity"] = insert_ignore(
-                    pairs, warehouse, "pair_activity", **checked
+
+            def append(table: str, rows: Callable[[], DataFrame]) -> Callable[[], int]:
+                return lambda: insert_ignore(
+                    rows(), warehouse, table, unique=True, known_users=True, days=days
                 )
+
+            known = totals.where("known")
+            rows_of = {
+                "sender_activity": lambda: known.where("send_freq > 0"),
+                "receiver_activity": lambda: known.where("recv_freq > 0"),
+                "net_spending": lambda: known.where("amount_cents IS NOT NULL"),
+                "pair_activity": lambda: _known_pairs(pair_activity(staged), totals, users),
+            }
+            jobs = {t: append(t, rows) for t, rows in rows_of.items() if t in wanted}
+            written.update(_side_by_side(spark, jobs))
     finally:
         if totals is not None:
             totals.unpersist()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paytally.operators import first_per_key, keep_known_users, new_keys_only
-from paytally.schema import TABLES, TableSpec
+from paytally.schema import TABLES
 from paytally.session import file_system
 from paytally.sinks.days import BatchDays
 
@@ -34,12 +34,15 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.location.rstrip('/')}/{table}"
 
-    def ensure_table(self, table: str, spec: TableSpec | None = None) -> None:
+    def ensure_database(self) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+
+    def ensure_table(self, table: str) -> None:
         """Create the table if the catalog lacks it. Dated tables are split by day."""
-        spec = spec or TABLES[table]
+        spec = TABLES[table]
         if self.spark.catalog.tableExists(self.full_name(table)):
             return
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        self.ensure_database()
         split = "PARTITIONED BY (transaction_date)" if spec.is_dated else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.full_name(table)} ({spec.ddl}) "
@@ -120,13 +123,12 @@ def insert_ignore(
 
 
 def stage(df: DataFrame, warehouse: Warehouse, table: str) -> str:
-    """Overwrite the staging table of ``table`` with ``df``; return its name."""
-    spec = TABLES[table]
+    """Replace the staging table of ``table`` with ``df``; return its name."""
     staging = f"{table}_temp"
-    warehouse.ensure_table(staging, spec)
-    name = warehouse.full_name(staging)
-    columns = warehouse.spark.table(name).columns
-    df.select(*columns).write.insertInto(name, overwrite=True)
+    warehouse.ensure_database()
+    rows = df.select(*TABLES[table].column_names)
+    writer = rows.write.format("parquet").mode("overwrite")
+    writer.option("path", warehouse.path(staging)).saveAsTable(warehouse.full_name(staging))
     return staging
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytally.functions import calendar_date, integer_id
-from paytally.schema import PAYMENTS, PROFILE_FIELDS, RAW_RECORDS
+from paytally.schema import PROFILE_FIELDS, RAW_RECORDS
 
 # Strict JSON: Spark would by default accept single-quoted strings.
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
@@ -61,4 +61,4 @@ def parse_payments(lines: DataFrame) -> DataFrame:
         F.col("record.amount_cents").try_cast("bigint").alias("amount_cents"),
         _profile(actor).alias("sender"),
         _profile(target).alias("receiver"),
-    ).to(PAYMENTS)
+    )

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytally.schema import PAYMENTS
 from paytally.session import file_system
 
 
@@ -54,7 +53,6 @@ def payments_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(*_profile(F.col("user_id"))).alias("sender"),
             F.struct(*_profile(receiver)).alias("receiver"),
         )
-        .to(PAYMENTS)
     )
 
 

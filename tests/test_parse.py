@@ -1,0 +1,155 @@
+"""What counts as a valid record, and for which metric."""
+
+import datetime as dt
+
+import pytest
+from conftest import line, party, rows
+
+from paytally.operators import (
+    net_spending,
+    pair_activity,
+    receiver_activity,
+    sender_activity,
+    user_mentions,
+)
+from paytally.sources import parse_payments
+
+DAY = dt.date(2017, 1, 5)
+
+
+def counts(payments):
+    """Rows of sends, receives, pairs, net spending and mentions."""
+    jobs = (sender_activity, receiver_activity, pair_activity, net_spending, user_mentions)
+    return tuple(job(payments).count() for job in jobs)
+
+
+def only(payments):
+    (row,) = payments.collect()
+    return row
+
+
+def test_valid_record(lines):
+    row = only(parse_payments(lines(line())))
+    assert (row.payment_id, row.sender_id, row.receiver_id) == (1, 7, 9)
+    assert (row.transaction_date, row.amount_cents) == (DAY, 250)
+    assert row.created_time == "2017-01-05T10:00:00Z"
+    assert tuple(row.sender) == ("Ann-7", "Ann", "Lee", "http://pics/7")
+
+
+@pytest.mark.parametrize("ident", ["7", 7, " 7 ", "07", "+7"])
+def test_integer_ids(lines, ident):
+    assert only(parse_payments(lines(line(ident)))).sender_id == 7
+
+
+@pytest.mark.parametrize("ident", [7.5, "7.5", True, "seven", "", None, {"a": 1}, [7], 10**20, ...])
+def test_other_ids_drop_the_record(lines, ident):
+    payments = parse_payments(lines(line(actor=party(ident))))
+    assert only(payments).sender_id is None
+    assert counts(payments) == (0, 1, 0, 0, 0)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "{bad",
+        "",
+        "   ",
+        "[1]",
+        "1",
+        "null",
+        '"text"',
+        "{'actor': {'id': '7'}}",
+        line()[:-1],
+        line() + "}",
+        line() + " junk",
+        line() + "," + line(),
+        line() + line(),
+        "[" + line() + "]",
+        line() + ',"x":1',
+    ],
+)
+def test_lines_that_are_no_single_object(lines, text):
+    assert counts(parse_payments(lines(text, line()))) == counts(parse_payments(lines(line())))
+    assert parse_payments(lines(text)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "transactions",
+    [[], None, ..., [{}], [None], [{"target": None}], [{"target": "x"}], "x", {"target": {}}],
+)
+def test_without_receiver_only_the_send_counts(lines, transactions):
+    assert counts(parse_payments(lines(line(transactions=transactions)))) == (1, 0, 0, 0, 0)
+
+
+def test_only_the_first_transaction_counts(lines):
+    both = [{"target": party("9")}, {"target": party("8")}]
+    payments = parse_payments(lines(line(transactions=both)))
+    assert rows(receiver_activity(payments)) == [(9, DAY, 1)]
+
+
+@pytest.mark.parametrize(
+    "at",
+    [
+        "2017-01-05",
+        "2017-01-05 10:00",
+        "2017-01-05T10:00:00.123456Z",
+        "2017-01-05T23:59:59-05:00",
+        "2017-01-05T00:00:00+0900",
+        "2017-01-05T10",
+    ],
+)
+def test_day_as_written(lines, at):
+    assert only(parse_payments(lines(line(at=at)))).transaction_date == DAY
+
+
+@pytest.mark.parametrize(
+    "at",
+    [
+        "x",
+        "10:00",
+        "",
+        None,
+        ...,
+        1483610400,
+        "2017-02-30T10:00:00Z",
+        "2017-13-01",
+        "0000-01-05",
+        "2017-01-05T25:00:00Z",
+        "2017-01-05junk",
+        "2017-01-05T10:00:00Zjunk",
+        {"a": 1},
+    ],
+)
+def test_bad_time_drops_metrics_but_not_users(lines, at):
+    assert counts(parse_payments(lines(line(at=at)))) == (0, 0, 0, 0, 2)
+
+
+def test_missing_amount_only_drops_net_spending(lines):
+    for amount in (None, ..., "many", 1.5):
+        payments = parse_payments(lines(line(amount_cents=amount)))
+        assert counts(payments) == (1, 1, 1, 0, 2)
+
+
+def test_missing_profile_key_drops_both_mentions(lines):
+    for key in ("username", "firstname", "lastname", "picture"):
+        sender = parse_payments(lines(line(actor=party("7", **{key: ...}))))
+        receiver = parse_payments(lines(line(transactions=[{"target": party("9", **{key: ...})}])))
+        assert counts(sender) == counts(receiver) == (1, 1, 1, 2, 0)
+
+
+def test_null_profile_value_is_present(lines):
+    payments = parse_payments(lines(line(actor=party("7", lastname=None))))
+    assert counts(payments) == (1, 1, 1, 2, 2)
+    assert only(payments).sender.lastname is None
+
+
+def test_files_and_folders_of_lines(spark, tmp_path):
+    from paytally.sources import scan_payments
+
+    (tmp_path / "2017_01").mkdir()
+    (tmp_path / "2017_01" / "a.json").write_text(line("1") + "\n" + line("2") + "\n")
+    folder = tmp_path / "2017_01" / "b.json"
+    folder.mkdir()
+    (folder / "part-0").write_text(line("3") + "\n\n{bad\n")
+    assert {r.sender_id for r in scan_payments(spark, str(tmp_path / "2017_*")).collect()} == {1, 2, 3}
+    assert scan_payments(spark, str(tmp_path / "2017_01" / "a.json")).count() == 2
