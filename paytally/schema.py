@@ -11,16 +11,18 @@ PROFILE_FIELDS = ("username", "firstname", "lastname", "picture")
 
 # A raw line wrapped in brackets parses as an array with one record. Scalars
 # stay text here and are cast leniently later; the two parties are maps because
-# a map, unlike a struct, tells an absent key from a JSON null.
+# a map, unlike a struct, tells an absent key from a JSON null. Transactions stay
+# text because only the first is read, and a broken later one must not spoil it.
 RAW_RECORDS = (
     "array<struct<"
     "payment_id:string,"
     "created_time:string,"
     "amount_cents:string,"
     "actor:map<string,string>,"
-    "transactions:array<struct<target:map<string,string>>>"
+    "transactions:array<string>"
     ">>"
 )
+RAW_TRANSACTION = "target map<string,string>"
 
 PROFILE = T.StructType([T.StructField(f, T.StringType()) for f in PROFILE_FIELDS])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytally.functions import calendar_date, integer_id
-from paytally.schema import PROFILE_FIELDS, RAW_RECORDS
+from paytally.schema import PROFILE_FIELDS, RAW_RECORDS, RAW_TRANSACTION
 
 # Strict JSON: Spark would by default accept single-quoted strings.
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
@@ -50,9 +50,10 @@ def parse_payments(lines: DataFrame) -> DataFrame:
     single = F.when(F.size("records") == 1, F.col("records"))
     record = decoded.select(F.explode(single).alias("record")).where("record IS NOT NULL")
 
-    actor = F.col("record.actor")
-    target = F.get(F.col("record.transactions"), F.lit(0)).getField("target")
-    return record.select(
+    first = F.get(F.col("record.transactions"), F.lit(0))
+    transaction = F.from_json(first, RAW_TRANSACTION, JSON_OPTIONS)
+    actor, target = F.col("record.actor"), F.col("target")
+    return record.select("record", transaction.getField("target").alias("target")).select(
         F.col("record.payment_id").try_cast("bigint").alias("payment_id"),
         F.col("record.created_time").alias("created_time"),
         integer_id(F.try_element_at(actor, F.lit("id"))).alias("sender_id"),

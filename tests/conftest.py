@@ -16,7 +16,7 @@ def spark():
     session = build_session(
         "paytally-tests",
         spark__master="local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )
@@ -67,7 +67,7 @@ def line(*args, **changes):
 @pytest.fixture
 def lines(spark):
     def build(*texts):
-        return spark.createDataFrame([(t,) for t in texts], "value string")
+        return spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)
 
     return build
 

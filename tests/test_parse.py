@@ -1,9 +1,13 @@
 """What counts as a valid record, and for which metric."""
 
 import datetime as dt
+from collections import Counter
+from functools import reduce
 
 import pytest
 from conftest import line, party, rows
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from paytally.operators import (
     net_spending,
@@ -20,7 +24,11 @@ DAY = dt.date(2017, 1, 5)
 def counts(payments):
     """Rows of sends, receives, pairs, net spending and mentions."""
     jobs = (sender_activity, receiver_activity, pair_activity, net_spending, user_mentions)
-    return tuple(job(payments).count() for job in jobs)
+    payments = payments.cache()
+    tagged = [job(payments).select(F.lit(n).alias("job")) for n, job in enumerate(jobs)]
+    found = Counter(r.job for r in reduce(DataFrame.unionAll, tagged).collect())
+    payments.unpersist()
+    return tuple(found[n] for n in range(len(jobs)))
 
 
 def only(payments):
@@ -75,16 +83,29 @@ def test_lines_that_are_no_single_object(lines, text):
 
 @pytest.mark.parametrize(
     "transactions",
-    [[], None, ..., [{}], [None], [{"target": None}], [{"target": "x"}], "x", {"target": {}}],
+    [
+        [],
+        None,
+        ...,
+        [{}],
+        [None],
+        [{"target": None}],
+        [{"target": "x"}],
+        "x",
+        {"target": {}},
+        [5, {"target": party("9")}],
+        [None, {"target": party("9")}],
+    ],
 )
 def test_without_receiver_only_the_send_counts(lines, transactions):
     assert counts(parse_payments(lines(line(transactions=transactions)))) == (1, 0, 0, 0, 0)
 
 
 def test_only_the_first_transaction_counts(lines):
-    both = [{"target": party("9")}, {"target": party("8")}]
-    payments = parse_payments(lines(line(transactions=both)))
-    assert rows(receiver_activity(payments)) == [(9, DAY, 1)]
+    for other in ({"target": party("8")}, {"target": "x"}, 5, None):
+        both = [{"target": party("9")}, other]
+        payments = parse_payments(lines(line(transactions=both)))
+        assert rows(receiver_activity(payments)) == [(9, DAY, 1)]
 
 
 @pytest.mark.parametrize(
