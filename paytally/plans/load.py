@@ -9,8 +9,10 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from paytally.functions import valid
 from paytally.operators import (
     keep_known_users,
+    new_keys_only,
     pair_activity,
     user_day_totals,
     user_mentions,
@@ -22,7 +24,7 @@ from paytally.sinks import Warehouse, insert_ignore
 from paytally.sinks.days import BatchDays
 from paytally.sources import scan_payments
 
-# Unknown ids are broadcast against the pairs up to this many (8 bytes each).
+# Sets of ids are broadcast up to this many (8 bytes each), after a count.
 MAX_BROADCAST_IDS = 1_000_000
 
 
@@ -44,12 +46,37 @@ def stage_payments(
         seen,
         F.count_if(complete).alias("complete"),
         F.count_if(complete & F.col("amount_cents").isNotNull()).alias("with_amount"),
-    ).write.parquet(path)
+    ).write.option("compression", "zstd").parquet(path)
     if need_amounts and seen.get["complete"] and not seen.get["with_amount"]:
         raise MissingAmounts("the source has no amount_cents; net spending needs it")
     return spark.read.schema(PAYMENTS).parquet(path)
 
 
+def _few(ids: DataFrame) -> bool:
+    return ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+
+
+def _load_users(staged: DataFrame, warehouse: Warehouse) -> int:
+    """Append the users that are not stored yet.
+
+    The ids alone tell which ones are new, in a cheap hash aggregate. Usually they
+    are few; then only their mentions are compared, and those of everyone else never
+    sorted. Otherwise, as in a first load, all mentions are.
+    """
+    warehouse.ensure_table("users")
+    mentions = valid(user_mentions(staged), "username")
+    ids = mentions.select("id").distinct()
+    new_ids = new_keys_only(ids, warehouse.read_table("users"), "id")
+    new_ids = new_ids.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if not _few(new_ids):
+            return insert_ignore(users_dim(mentions), warehouse, "users", unique=True)
+        fresh = mentions.join(F.broadcast(new_ids), "id", "left_semi")
+        return warehouse.append(users_dim(fresh), "users")
+    finally:
+        new_ids.unpersist()
+
+
 def _known_pairs(pairs: DataFrame, totals: DataFrame, users: DataFrame) -> DataFrame:
     """Pairs of two known users.
 
@@ -58,7 +85,7 @@ def _known_pairs(pairs: DataFrame, totals: DataFrame, users: DataFrame) -> DataF
     shuffling the pairs once per role; beyond the limit the ids are semi-joined.
     """
     unknown = totals.where(~F.col("known")).select("user_id").distinct()
-    if unknown.limit(MAX_BROADCAST_IDS + 1).count() > MAX_BROADCAST_IDS:
+    if not _few(unknown):
         return keep_known_users(pairs, users, "user1", "user2")
     for column in ("user1", "user2"):
         ids = F.broadcast(unknown)
@@ -97,8 +124,7 @@ def load_payments(
     try:
         staged = stage_payments(payments, spark, path, "net_spending" in wanted)
         if "users" in wanted:
-            dim = users_dim(user_mentions(staged))
-            written["users"] = insert_ignore(dim, warehouse, "users", unique=True)
+            written["users"] = _load_users(staged, warehouse)
         if wanted - {"users"}:
             users = warehouse.read_table("users")
             ids = users.select(F.col("id"), F.lit(True).alias("listed"))

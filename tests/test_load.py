@@ -208,3 +208,14 @@ def test_existing_keys_are_read_for_the_days_of_the_batch_only(warehouse, lines)
     batch = days.BatchDays(DAY, DAY, (DAY,))
     plan = warehouse.read_table("pair_activity").where(batch.predicate())
     assert len(plan.inputFiles()) == 1
+
+
+def test_new_users_join_the_stored_ones(warehouse, lines, monkeypatch):
+    """With few new ids and, past the limit, with many."""
+    days_of_two = [line(str(n), str(n + 1), at=f"2017-01-{5 + n:02}T10:00:00Z") for n in range(4)]
+    load_payments(parse_payments(lines(days_of_two[0])), warehouse)
+    load_payments(parse_payments(lines(*days_of_two[:2])), warehouse)
+    monkeypatch.setattr(load, "MAX_BROADCAST_IDS", 1)
+    written = load_payments(parse_payments(lines(*days_of_two)), warehouse)
+    assert written["users"] == 2
+    assert [u[0] for u in rows(warehouse.read_table("users"))] == [0, 1, 2, 3, 4]
