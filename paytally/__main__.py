@@ -13,7 +13,7 @@ import argparse
 from paytally.plans import report, run_period
 from paytally.plans.reports import REPORTS
 from paytally.schema import TABLES
-from paytally.session import build_session
+from paytally.session import build_session, settings_for
 from paytally.sinks import Warehouse
 from paytally.sources import period_path
 from paytally.streaming import ingest_available
@@ -23,6 +23,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="paytally", description="Daily payment activity")
     parser.add_argument("--warehouse", required=True, help="folder of the result tables")
     parser.add_argument("--database", default="paytally", help="their catalog database")
+    parser.add_argument(
+        "--input-bytes", type=int, help="size of the text to load, to size the partitions"
+    )
     jobs = parser.add_subparsers(dest="job", required=True)
 
     load = jobs.add_parser("load", help="load a year, a month or a day")
@@ -51,7 +54,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session()
+    spark = build_session(settings=settings_for(args.input_bytes) if args.input_bytes else None)
     warehouse = Warehouse(spark, args.warehouse, args.database)
     if args.job == "load":
         source = period_path(args.root, args.year, args.month, args.day, args.prefix)

@@ -2,33 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paytally.functions import valid
 from paytally.schema import PROFILE_FIELDS
 
 
-def user_mentions(payments: DataFrame) -> DataFrame:
+def user_mentions(
+    payments: DataFrame, fields: tuple[str, ...] = PROFILE_FIELDS
+) -> DataFrame:
     """Two rows per payment, its sender (role 0) and its receiver (role 1).
 
     A payment counts only if both parties have an id and all profile keys; the
-    day is not looked at.
+    day is not looked at. ``fields`` are the profile fields to carry along: what
+    goes into the explode is read from storage, used later or not.
     """
     complete = valid(payments, "sender_id", "receiver_id", "sender", "receiver")
-    mentions = F.array(
-        F.struct(
-            F.lit(0).alias("role"), F.col("sender_id").alias("id"), F.col("sender").alias("profile")
-        ),
-        F.struct(
-            F.lit(1).alias("role"),
-            F.col("receiver_id").alias("id"),
-            F.col("receiver").alias("profile"),
-        ),
-    )
-    return complete.select(
-        "created_time", "payment_id", F.explode(mentions).alias("mention")
-    ).select("created_time", "payment_id", "mention.role", "mention.id", "mention.profile.*")
+
+    def mention(role: int, party: str) -> Column:
+        profile = [F.col(f"{party}.{field}").alias(field) for field in fields]
+        return F.struct(
+            F.lit(role).alias("role"), F.col(f"{party}_id").alias("id"), *profile
+        )
+
+    both = F.array(mention(0, "sender"), mention(1, "receiver"))
+    rows = complete.select("created_time", "payment_id", F.explode(both).alias("mention"))
+    return rows.select("created_time", "payment_id", "mention.*")
 
 
 def users_dim(mentions: DataFrame) -> DataFrame:

@@ -64,11 +64,11 @@ def _load_users(staged: DataFrame, warehouse: Warehouse) -> int:
     sorted. Otherwise, as in a first load, all mentions are.
     """
     warehouse.ensure_table("users")
-    mentions = valid(user_mentions(staged), "username")
-    ids = mentions.select("id").distinct()
+    ids = valid(user_mentions(staged, ("username",)), "username").select("id").distinct()
     new_ids = new_keys_only(ids, warehouse.read_table("users"), "id")
     new_ids = new_ids.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        mentions = user_mentions(staged)
         if not _few(new_ids):
             return insert_ignore(users_dim(mentions), warehouse, "users", unique=True)
         fresh = mentions.join(F.broadcast(new_ids), "id", "left_semi")

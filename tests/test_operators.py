@@ -20,6 +20,7 @@ from paytally.operators import (
     user_mentions,
     users_dim,
 )
+from paytally.schema import PAYMENTS
 from paytally.sources import parse_payments
 from paytally.sources.sample import payments_from_events
 
@@ -164,3 +165,25 @@ def test_aggregates_are_reduced_before_their_one_shuffle(spark, job):
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_" in plan.split("Exchange hashpartitioning")[1]
     assert "Python" not in plan
+
+
+def test_jobs_read_only_their_columns(spark, tmp_path):
+    path = str(tmp_path / "staged")
+    spark.createDataFrame([], PAYMENTS).write.parquet(path)
+    staged = spark.read.schema(PAYMENTS).parquet(path)
+
+    def read(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.split("ReadSchema: struct<")[1].split("\n")[0]
+
+    assert read(sender_activity(staged)) == "sender_id:bigint,transaction_date:date>"
+    assert read(pair_activity(staged)) == (
+        "sender_id:bigint,receiver_id:bigint,transaction_date:date>"
+    )
+    assert read(user_day_totals(staged)) == (
+        "sender_id:bigint,receiver_id:bigint,transaction_date:date,amount_cents:bigint>"
+    )
+    ids = user_mentions(staged, ("username",)).select("id", "username")
+    assert read(ids).startswith(
+        "sender_id:bigint,receiver_id:bigint,sender:struct<username:string>,"
+    )

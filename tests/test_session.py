@@ -4,7 +4,7 @@ import pytest
 from conftest import line
 
 from paytally import __main__ as command_line
-from paytally.session import scratch_path, shared_dir
+from paytally.session import scratch_path, settings_for, shared_dir
 
 
 def context(setting, master="local[2]", current=None):
@@ -52,3 +52,15 @@ def test_command_line(spark, tmp_path, capsys):
     spark.sql("DROP DATABASE cli_test CASCADE")
     with pytest.raises(SystemExit):
         command_line.main([*common, "report", "lurkers", "2017-01-05", "10"])
+
+
+def test_partition_sizes_follow_the_input():
+    def sizes(input_bytes):
+        found = settings_for(input_bytes)
+        split = int(found["spark.sql.files.maxPartitionBytes"])
+        return split, int(found["spark.sql.shuffle.partitions"])
+
+    assert sizes(10**9) == (128 << 20, 200)
+    split, partitions = sizes(100 * 10**12)
+    assert 100 * 10**12 / split <= 200_000
+    assert 6 * 10**12 / partitions <= 128 << 20
