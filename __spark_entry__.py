@@ -38,9 +38,9 @@ from paytally.plans import (
     top_spenders,
 )
 from paytally.schema import TABLES
-from paytally.session import scratch_path
+from paytally.session import drop_path, scratch_path
 from paytally.sinks import Warehouse, insert_ignore, merge_staged, stage
-from paytally.sources import landing_path, parse_payments, period_path, scan_payments
+from paytally.sources import parse_payments, period_path, scan_payments
 from paytally.sources.sample import (
     payments_from_events,
     raw_lines,
@@ -117,7 +117,9 @@ def _period_files(spark: SparkSession, sf_dir: str) -> str:
 def _loaded(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, dict[str, int]]:
     warehouse = _warehouse(spark)
     root = _period_files(spark, sf_dir)
-    return warehouse, run_period(spark, period_path(root, 2024), warehouse)
+    written = run_period(spark, period_path(root, 2024), warehouse)
+    drop_path(spark, root)
+    return warehouse, written
 
 
 def q_parse_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +236,8 @@ def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         arrival.select("value").write.mode("append").text(landing)
         ingest_available(spark, landing, archive, checkpoint, warehouse)
     _drop_database(warehouse)
+    for path in (landing, archive, checkpoint):
+        drop_path(spark, path)
     return _all_metrics(warehouse)
 
 

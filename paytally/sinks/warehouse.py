@@ -48,11 +48,29 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {self.full_name(table)} ({spec.ddl}) "
             f"USING parquet {split} LOCATION '{self.path(table)}'"
         )
-        fs, folder = file_system(self.spark, self.path(table))
-        if spec.is_dated and fs.exists(folder):
+        if spec.is_dated:
             # Days that a session with another catalog has written.
+            self._recover_days(table)
+
+    def _recover_days(self, table: str) -> None:
+        """Register all days whose folders lie below the table's."""
+        fs, folder = file_system(self.spark, self.path(table))
+        if fs.exists(folder):
             self.spark.sql(f"ALTER TABLE {self.full_name(table)} RECOVER PARTITIONS")
 
+    def stored_days(self, table: str, days: BatchDays) -> DataFrame:
+        """What is stored for the days of a batch.
+
+        The days are registered first: a load that died after its files were in
+        place, but before the catalog heard of them, must be seen by the next one.
+        """
+        if days.listed is None:
+            self._recover_days(table)
+        else:
+            parts = " ".join(f"PARTITION (transaction_date = '{day}')" for day in days.listed)
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {parts}")
+        return self.read_table(table).where(days.predicate())
+
     def read_table(self, table: str) -> DataFrame:
         """A result table in its declared column order."""
         self.ensure_table(table)
@@ -103,9 +121,9 @@ def insert_ignore(
     if spec.user_columns and not known_users:
         rows = keep_known_users(rows, warehouse.read_table("users"), *spec.user_columns)
 
-    existing = warehouse.read_table(table)
     if not spec.is_dated:
-        return warehouse.append(new_keys_only(rows, existing, *spec.keys), table)
+        stored = warehouse.read_table(table)
+        return warehouse.append(new_keys_only(rows, stored, *spec.keys), table)
 
     held = None
     if days is None:
@@ -115,7 +133,7 @@ def insert_ignore(
     try:
         if days.is_empty:
             return 0
-        stored = existing.where(days.predicate())
+        stored = warehouse.stored_days(table, days)
         return warehouse.append(new_keys_only(rows, stored, *spec.keys), table, days)
     finally:
         if held is not None:

@@ -219,3 +219,24 @@ def test_new_users_join_the_stored_ones(warehouse, lines, monkeypatch):
     written = load_payments(parse_payments(lines(*days_of_two)), warehouse)
     assert written["users"] == 2
     assert [u[0] for u in rows(warehouse.read_table("users"))] == [0, 1, 2, 3, 4]
+
+
+def test_files_the_catalog_has_not_heard_of_are_seen(spark, warehouse, lines, monkeypatch):
+    """As after a driver that died between its files' commit and the catalog's."""
+    payments = parse_payments(lines(line(), line("9", "8"), line(at="2017-01-06T01:00:00Z")))
+    load_payments(payments, warehouse)
+    before = stored(warehouse)
+
+    def forget_a_day():
+        for table in METRICS:
+            spark.sql(
+                f"ALTER TABLE {warehouse.full_name(table)} "
+                f"DROP PARTITION (transaction_date = '{DAY}')"
+            )
+        assert len(stored(warehouse)["sender_activity"]) == 1
+
+    for listed in (days.MAX_LISTED_DAYS, 1):
+        monkeypatch.setattr(days, "MAX_LISTED_DAYS", listed)
+        forget_a_day()
+        assert set(load_payments(payments, warehouse).values()) == {0}
+        assert stored(warehouse) == before
