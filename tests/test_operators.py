@@ -187,3 +187,35 @@ def test_jobs_read_only_their_columns(spark, tmp_path):
     assert read(ids).startswith(
         "sender_id:bigint,receiver_id:bigint,sender:struct<username:string>,"
     )
+
+
+def test_a_hot_user_is_split_in_the_known_user_check(spark):
+    """A third of all pairs share one user; the join spreads them over several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        n = F.col("id")
+        pairs = spark.range(0, 60_000, 1, 8).select(
+            F.when(n % 3 == 0, F.lit(5)).otherwise(F.pmod(F.xxhash64(n), F.lit(9000))).alias("user1"),
+            n.alias("user2"),
+        )
+        users = spark.range(0, 50_000, 1, 4)
+        kept = keep_known_users(pairs, users, "user1", "user2")
+        assert len(kept.collect()) == 50_000
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
