@@ -49,27 +49,23 @@ class Warehouse:
             f"USING parquet {split} LOCATION '{self.path(table)}'"
         )
         if spec.is_dated:
-            # Days that a session with another catalog has written.
-            self._recover_days(table)
+            self.register_days(table)
 
-    def _recover_days(self, table: str) -> None:
-        """Register all days whose folders lie below the table's."""
-        fs, folder = file_system(self.spark, self.path(table))
-        if fs.exists(folder):
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} RECOVER PARTITIONS")
-
-    def stored_days(self, table: str, days: BatchDays) -> DataFrame:
-        """What is stored for the days of a batch.
+    def register_days(self, table: str) -> None:
+        """Tell the catalog of days whose folders it does not know.
 
-        The days are registered first: a load that died after its files were in
-        place, but before the catalog heard of them, must be seen by the next one.
+        They come from a session with another catalog, or from a load that died
+        after its files were in place. Compares names, of one folder per day.
         """
-        if days.listed is None:
-            self._recover_days(table)
-        else:
-            parts = " ".join(f"PARTITION (transaction_date = '{day}')" for day in days.listed)
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {parts}")
-        return self.read_table(table).where(days.predicate())
+        fs, folder = file_system(self.spark, self.path(table))
+        if not fs.exists(folder):
+            return
+        names = {entry.getPath().getName() for entry in fs.listStatus(folder)}
+        found = {name for name in names if name.startswith("transaction_date=")}
+        name = self.full_name(table)
+        known = {row.partition for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        if found - known:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
     def read_table(self, table: str) -> DataFrame:
         """A result table in its declared column order."""
@@ -133,7 +129,8 @@ def insert_ignore(
     try:
         if days.is_empty:
             return 0
-        stored = warehouse.stored_days(table, days)
+        warehouse.register_days(table)
+        stored = warehouse.read_table(table).where(days.predicate())
         return warehouse.append(new_keys_only(rows, stored, *spec.keys), table, days)
     finally:
         if held is not None:
