@@ -50,6 +50,20 @@ from paytally.sources.sample import (
 )
 from paytally.streaming import ingest_available
 
+try:
+    from paytally.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The training-data operators can be left out of a copy; other errors are errors.
+    if missing.name != "paytally.llm":
+        raise
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "paytally.llm"):
+        raise
+    corpus_pipeline = None
+
 DAY = "2024-01-05"
 TOP_N = 10
 # The second of two arrivals starts on this day.
@@ -280,6 +294,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_spenders_some_unknown": _top(top_spenders, net_spending, users_from_suppliers),
         "top_pair_ids": q_top_pair_ids,
         "incremental_ingest": q_incremental_ingest,
+        **(llm_queries.queries() if llm_queries else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
@@ -487,4 +503,11 @@ early AS (SELECT DISTINCT id FROM mentions WHERE {day1})
 SELECT * FROM ({ALL_METRICS.format(u="early")}) WHERE {day1}
 UNION ALL
 SELECT * FROM ({ALL_METRICS.format(u="dim")}) WHERE NOT ({day1})""",
+        **(llm_queries.oracle_sql() if llm_queries else {}),
+        **_pipeline_sql(),
     }
+
+
+def _pipeline_sql() -> dict[str, str]:
+    sql = corpus_pipeline.ORACLE_SQL if corpus_pipeline else None
+    return {"pipeline": sql} if sql else {}
