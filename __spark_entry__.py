@@ -7,6 +7,8 @@ Spark derives them from ``events``, with a different defect per event type.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -50,19 +52,18 @@ from paytally.sources.sample import (
 )
 from paytally.streaming import ingest_available
 
-try:
-    from paytally.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
-    # The training-data operators can be left out of a copy; other errors are errors.
-    if missing.name != "paytally.llm":
-        raise
-    llm_queries = None
-try:
-    import corpus_pipeline
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "paytally.llm"):
-        raise
-    corpus_pipeline = None
+
+def _optional(name: str):
+    """The module, or None in a copy from which it was left out; its errors are raised."""
+    try:
+        found = importlib.util.find_spec(name)
+    except ModuleNotFoundError:
+        found = None
+    return importlib.import_module(name) if found else None
+
+
+llm_queries = _optional("paytally.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline") if llm_queries else None
 
 DAY = "2024-01-05"
 TOP_N = 10
