@@ -45,7 +45,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (
   SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(text, chr(10)),
-                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d
 ),
 windows AS (
@@ -68,10 +68,10 @@ m AS (
            AS n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-         len(list_filter(lines, x -> regexp_matches(x, '^\s*[-*•‣●]'))) AS n_bullet_lines,
-         len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_cut_lines,
-         len(list_distinct(list_filter(list_transform(words, x -> lower(x)),
-                                       x -> x IN ({stops})))) AS n_stop_words
+         len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•‣●]'))) AS n_bullet_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_cut_lines,
+         len(list_distinct(list_filter(list_transform(words, lambda x: lower(x)),
+                                       lambda x: x IN ({stops})))) AS n_stop_words
   FROM w LEFT JOIN covered USING (doc_id)
 ),
 judged AS (
