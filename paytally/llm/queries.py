@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from paytally.llm import bpe
 from paytally.llm.common import table
 from paytally.llm.quality import RULES, STOP_WORDS, quality
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(docs, path, public_tokenizers.PATTERN).drop("text")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -25,6 +33,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bpe": op2_bpe,
         "op6_quality_rules": op6_quality_rules,
     }
 
