@@ -27,7 +27,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def planned_bytes(df: DataFrame) -> int:
     """Spark's own estimate of the size of ``df``, from file sizes; reads no data."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def partitions(df: DataFrame, bytes_each: int = 32 * MB) -> int:

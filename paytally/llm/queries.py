@@ -7,9 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paytally.llm import bpe
+from paytally.llm import bpe, token_files
 from paytally.llm.common import table
+from paytally.llm.packing import pack_documents
 from paytally.llm.quality import RULES, STOP_WORDS, quality
+from paytally.llm.simhash import near_duplicates
+from paytally.session import scratch_path
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +21,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, path, public_tokenizers.PATTERN).drop("text")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    files = token_files.write(docs, scratch_path(spark, "tokens"), path, end_id=1)
+    return token_files.digests(spark, files)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, end_id=0)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -31,10 +46,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2, seed=42)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe": op2_bpe,
+        "op4_token_files": op4_token_files,
+        "op5_packing": op5_packing,
         "op6_quality_rules": op6_quality_rules,
+        "op10_simhash": op10_simhash,
     }
 
 
