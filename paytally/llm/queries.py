@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paytally.llm import bpe, token_files
+from paytally.llm import bpe, token_files, warc
 from paytally.llm.common import table
 from paytally.llm.packing import pack_documents
 from paytally.llm.quality import RULES, STOP_WORDS, quality
@@ -46,6 +46,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.read(spark, paths).drop("url")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2, seed=42)
 
@@ -56,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_files": op4_token_files,
         "op5_packing": op5_packing,
         "op6_quality_rules": op6_quality_rules,
+        "op7_warc": op7_warc,
         "op10_simhash": op10_simhash,
     }
 
@@ -113,5 +119,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": _quality_sql()}
+    return {"op6_quality_rules": _quality_sql(), "op7_warc": WARC_SQL}
