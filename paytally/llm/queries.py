@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paytally.llm import bpe, token_files, warc
 from paytally.llm.common import table
 from paytally.llm.packing import pack_documents
+from paytally.llm.permutation_index import nearest
 from paytally.llm.quality import RULES, STOP_WORDS, quality
 from paytally.llm.simhash import near_duplicates
 from paytally.session import scratch_path
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -57,6 +64,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_permutation_index": op1_permutation_index,
         "op2_bpe": op2_bpe,
         "op4_token_files": op4_token_files,
         "op5_packing": op5_packing,
