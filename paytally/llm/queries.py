@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paytally.llm import bpe, token_files, warc
 from paytally.llm.common import table
+from paytally.llm.html_text import main_text
 from paytally.llm.packing import pack_documents
 from paytally.llm.permutation_index import nearest
 from paytally.llm.quality import RULES, STOP_WORDS, quality
@@ -28,6 +29,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, path, public_tokenizers.PATTERN).drop("text")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_permutation_index": op1_permutation_index,
         "op2_bpe": op2_bpe,
+        "op3_html_text": op3_html_text,
         "op4_token_files": op4_token_files,
         "op5_packing": op5_packing,
         "op6_quality_rules": op6_quality_rules,
