@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from paytally.llm import bpe, token_files, warc
 from paytally.llm.common import table
 from paytally.llm.html_text import main_text
+from paytally.llm.language import languages_of
 from paytally.llm.packing import pack_documents
 from paytally.llm.permutation_index import nearest
 from paytally.llm.quality import RULES, STOP_WORDS, quality
@@ -63,6 +64,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, paths).drop("url")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return languages_of(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2, seed=42)
 
@@ -76,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_quality_rules": op6_quality_rules,
         "op7_warc": op7_warc,
+        "op9_language": op9_language,
         "op10_simhash": op10_simhash,
     }
 
