@@ -16,6 +16,7 @@ from paytally.llm.packing import pack_documents
 from paytally.llm.permutation_index import nearest
 from paytally.llm.quality import RULES, STOP_WORDS, quality
 from paytally.llm.simhash import near_duplicates
+from paytally.llm.toxicity import toxicity
 from paytally.session import scratch_path
 
 
@@ -64,6 +65,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, paths).drop("url")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return languages_of(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_quality_rules": op6_quality_rules,
         "op7_warc": op7_warc,
+        "op8_toxicity": op8_toxicity,
         "op9_language": op9_language,
         "op10_simhash": op10_simhash,
     }
