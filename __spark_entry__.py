@@ -39,10 +39,10 @@ from paytally.plans import (
     top_senders,
     top_spenders,
 )
-from paytally.schema import TABLES
+from paytally.schema import CENTS, TABLES
 from paytally.session import drop_path, scratch_path
 from paytally.sinks import Warehouse, insert_ignore, merge_staged, stage
-from paytally.sources import parse_payments, period_path, scan_payments
+from paytally.sources import landing_path, parse_payments, period_path, scan_payments
 from paytally.sources.sample import (
     payments_from_events,
     raw_lines,
@@ -67,6 +67,10 @@ corpus_pipeline = _optional("corpus_pipeline") if llm_queries else None
 
 DAY = "2024-01-05"
 TOP_N = 10
+# The period of the scan over raw files.
+YEAR = 2024
+# A user who is gone by the time of the stored reports.
+REMOVED_USER = 3
 # The second of two arrivals starts on this day.
 SECOND_ARRIVAL = "2024-01-16"
 # Event types of the first of two loads of the same days.
@@ -89,13 +93,14 @@ def _stored(warehouse: Warehouse, table: str) -> DataFrame:
 
 
 class _StoredFiles:
-    """The tables of a warehouse by path, for ``report``."""
+    """The tables of a warehouse by path, for ``report``; one user has been removed."""
 
     def __init__(self, warehouse: Warehouse) -> None:
         self.warehouse = warehouse
 
     def read_table(self, table: str) -> DataFrame:
-        return _stored(self.warehouse, table)
+        rows = _stored(self.warehouse, table)
+        return rows.where(F.col("id") != REMOVED_USER) if table == "users" else rows
 
 
 def _all_metrics(warehouse: Warehouse) -> DataFrame:
@@ -107,7 +112,7 @@ def _all_metrics(warehouse: Warehouse) -> DataFrame:
             F.col(user1).alias("user1"),
             user2.cast("bigint").alias("user2"),
             "transaction_date",
-            F.col(measure).alias("measure"),
+            F.col(measure).cast(CENTS).alias("measure"),
         )
 
     return (
@@ -132,7 +137,7 @@ def _period_files(spark: SparkSession, sf_dir: str) -> str:
 def _loaded(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, dict[str, int]]:
     warehouse = _warehouse(spark)
     root = _period_files(spark, sf_dir)
-    written = run_period(spark, period_path(root, 2024), warehouse)
+    written = run_period(spark, root, warehouse)  # every day that there is
     drop_path(spark, root)
     return warehouse, written
 
@@ -162,7 +167,7 @@ def q_valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scan_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _period_files(spark, sf_dir)
-    return scan_payments(spark, period_path(root, 2024)).select(
+    return scan_payments(spark, period_path(root, YEAR)).select(
         "payment_id", "sender_id", "receiver_id", "transaction_date", "amount_cents"
     )
 
@@ -212,10 +217,18 @@ def q_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_staged_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers are users already; customers come in through the staging table."""
+    """Suppliers are users already; customers come in through the staging table.
+
+    With each customer comes a row without an id and one of a new id without a name,
+    neither of which may be stored.
+    """
     warehouse = _warehouse(spark)
     insert_ignore(users_from_suppliers(spark, sf_dir), warehouse, "users")
-    staging = stage(users_from_customers(spark, sf_dir), warehouse, "users")
+    customers = users_from_customers(spark, sf_dir)
+    without_id = customers.withColumn("id", F.lit(None).cast("bigint"))
+    without_name = customers.withColumn("id", -F.col("id") - 1)
+    without_name = without_name.withColumn("username", F.lit(None).cast("string"))
+    staging = stage(customers.union(without_id).union(without_name), warehouse, "users")
     merge_staged(warehouse, staging, "users")
     _drop_database(warehouse)
     return _stored(warehouse, "users")
@@ -224,6 +237,7 @@ def q_staged_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse, written = _loaded(spark, sf_dir)
     _drop_database(warehouse)
+    drop_path(spark, warehouse.location)
     return spark.createDataFrame(sorted(written.items()), "table_name string, rows_written bigint")
 
 
@@ -236,22 +250,39 @@ def q_run_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse, _ = _loaded(spark, sf_dir)
     _drop_database(warehouse)
-    return report(_StoredFiles(warehouse), "active_pairs", DAY, TOP_N)
+    tables = _StoredFiles(warehouse)
+
+    def rows(metric: str, name, other, measure: str) -> DataFrame:
+        return report(tables, metric, DAY, TOP_N).select(
+            F.lit(metric).alias("report"),
+            name.alias("name"),
+            other.cast("string").alias("other"),
+            F.col(measure).cast("decimal(38,2)").alias("measure"),
+        )
+
+    name, nobody = F.col("name"), F.lit(None)
+    return (
+        rows("active_senders", name, nobody, "send_freq")
+        .unionByName(rows("active_receivers", name, nobody, "recv_freq"))
+        .unionByName(rows("active_pairs", F.col("user1"), F.col("user2"), "transaction_freq"))
+        .unionByName(rows("active_spenders", name, nobody, "amount"))
+    )
 
 
 def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals in a landing folder, each followed by a run of the stream."""
     warehouse = _warehouse(spark)
-    landing = scratch_path(spark, "landing")
+    root = scratch_path(spark, "landing")
+    landing = f"{root}/unprocessed"
     archive = scratch_path(spark, "archive")
     checkpoint = scratch_path(spark, "stream")
     lines = raw_lines(spark, sf_dir)
     second = F.col("day") >= F.lit(SECOND_ARRIVAL).cast("date")
-    for arrival in (lines.where(~second), lines.where(second)):
-        arrival.select("value").write.mode("append").text(landing)
+    for number, arrival in enumerate((lines.where(~second), lines.where(second)), start=1):
+        arrival.select("value").write.text(landing_path(root, YEAR, 1, number))
         ingest_available(spark, landing, archive, checkpoint, warehouse)
     _drop_database(warehouse)
-    for path in (landing, archive, checkpoint):
+    for path in (root, archive, checkpoint):
         drop_path(spark, path)
     return _all_metrics(warehouse)
 
@@ -353,14 +384,15 @@ PAIRS = """
          transaction_date, CAST(count(*) AS BIGINT) AS transaction_freq
   FROM {pay} WHERE receiver_id IS NOT NULL GROUP BY 1, 2, 3"""
 LEGS = """
-  SELECT sender_id AS user_id, transaction_date, amount_cents
+  SELECT sender_id AS user_id, transaction_date,
+         CAST(amount_cents AS DECIMAL(38,0)) AS amount_cents
   FROM {pay} WHERE receiver_id IS NOT NULL
   UNION ALL
-  SELECT receiver_id, transaction_date, -amount_cents
+  SELECT receiver_id, transaction_date, -CAST(amount_cents AS DECIMAL(38,0))
   FROM {pay} WHERE receiver_id IS NOT NULL"""
 NET = (
     """
-  SELECT user_id, transaction_date, CAST(sum(amount_cents) AS BIGINT) AS amount_cents
+  SELECT user_id, transaction_date, CAST(sum(amount_cents) AS DECIMAL(38,0)) AS amount_cents
   FROM ("""
     + LEGS
     + """) GROUP BY user_id, transaction_date"""
@@ -376,16 +408,18 @@ SUPPLIERS = """
 # The four metrics below each other, for known users ``u`` of a load.
 ALL_METRICS = """
   SELECT 'sender_activity' AS metric, user_id AS user1, CAST(NULL AS BIGINT) AS user2,
-         transaction_date, send_freq AS measure
+         transaction_date, CAST(send_freq AS DECIMAL(38,0)) AS measure
   FROM s WHERE user_id IN (SELECT id FROM {u})
   UNION ALL
-  SELECT 'receiver_activity', user_id, NULL, transaction_date, recv_freq
+  SELECT 'receiver_activity', user_id, NULL, transaction_date,
+         CAST(recv_freq AS DECIMAL(38,0))
   FROM r WHERE user_id IN (SELECT id FROM {u})
   UNION ALL
   SELECT 'net_spending', user_id, NULL, transaction_date, amount_cents
   FROM n WHERE user_id IN (SELECT id FROM {u})
   UNION ALL
-  SELECT 'pair_activity', user1, user2, transaction_date, transaction_freq
+  SELECT 'pair_activity', user1, user2, transaction_date,
+         CAST(transaction_freq AS DECIMAL(38,0))
   FROM p WHERE user1 IN (SELECT id FROM {u}) AND user2 IN (SELECT id FROM {u})"""
 
 
@@ -416,8 +450,36 @@ WHERE m.transaction_date = DATE '{DAY}'
 ORDER BY m.transaction_freq DESC, m.user1, m.user2 LIMIT {TOP_N}"""
 
 
+def _stored_report_sql() -> str:
+    """The four reports below each other, without the user who has been removed."""
+
+    def ranked(metric: str, name: str, source: str, measure: str) -> str:
+        return f"""(
+SELECT '{metric}' AS report, {name} AS name, CAST(NULL AS VARCHAR) AS other,
+       {measure} AS measure
+FROM {source} m JOIN left_users u ON u.id = m.user_id
+WHERE transaction_date = DATE '{DAY}' ORDER BY {measure} DESC, m.user_id LIMIT {TOP_N})"""
+
+    full = "{0}.firstname || ' ' || {0}.lastname"
+    units = "CAST(m.amount_cents / 100.0 AS DECIMAL(38,2))"
+    return f"""
+WITH {PARSED}, {_metrics_of("parsed")},
+left_users AS (SELECT * FROM dim WHERE id <> {REMOVED_USER})
+{ranked("active_senders", full.format("u"), "s", "CAST(m.send_freq AS DECIMAL(38,2))")}
+UNION ALL
+{ranked("active_receivers", full.format("u"), "r", "CAST(m.recv_freq AS DECIMAL(38,2))")}
+UNION ALL
+{ranked("active_spenders", full.format("u"), "n", units)}
+UNION ALL (
+SELECT 'active_pairs', {full.format("a")}, {full.format("b")},
+       CAST(m.transaction_freq AS DECIMAL(38,2))
+FROM p m JOIN left_users a ON a.id = m.user1 JOIN left_users b ON b.id = m.user2
+WHERE m.transaction_date = DATE '{DAY}'
+ORDER BY m.transaction_freq DESC, m.user1, m.user2 LIMIT {TOP_N})"""
+
+
 def _reports_sql(users: str) -> dict[str, str]:
-    amount = "CAST(m.amount_cents / 100.0 AS DECIMAL(18,2)) AS amount"
+    amount = "CAST(m.amount_cents / 100.0 AS DECIMAL(38,2)) AS amount"
     pairs = f"{PAY}, m AS ({PAIRS.format(pay='pay')}), u AS ({users})"
     return {
         "top_senders": _top_users_sql(SENDERS, "send_freq", "m.send_freq", users),
@@ -446,7 +508,8 @@ SELECT payment_id, created_time, sender_id, receiver_id, transaction_date, amoun
 FROM parsed""",
         "valid_payments": f"WITH {PARSED} SELECT {parsed_columns} FROM parsed "
         "WHERE receiver_id IS NOT NULL",
-        "scan_period": f"WITH {PARSED} SELECT {parsed_columns} FROM parsed",
+        "scan_period": f"WITH {PARSED} SELECT {parsed_columns} FROM parsed "
+        f"WHERE year(transaction_date) = {YEAR}",
         "sender_keys": f"WITH {PAY} SELECT sender_id AS user_id, transaction_date FROM pay",
         "receiver_keys": f"WITH {PAY} SELECT receiver_id AS user_id, transaction_date FROM pay",
         "canonical_pairs": f"""
@@ -488,9 +551,7 @@ WITH {PARSED}, {_metrics_of("parsed")}, loaded AS ({ALL_METRICS.format(u="dim")}
 SELECT metric AS table_name, CAST(count(*) AS BIGINT) AS rows_written FROM loaded GROUP BY 1
 UNION ALL SELECT 'users', CAST(count(*) AS BIGINT) FROM dim""",
         "run_period": f"WITH {PARSED}, {_metrics_of('parsed')} {ALL_METRICS.format(u='dim')}",
-        "stored_report": _top_pairs_sql(
-            f"{PARSED}, m AS ({PAIRS.format(pay='parsed')})", "dim"
-        ),
+        "stored_report": _stored_report_sql(),
         **_reports_sql(CUSTOMERS),
         **some_unknown,
         "top_pair_ids": f"""

@@ -36,7 +36,9 @@ def display_name(first: Column, last: Column) -> Column:
 
 def to_units(amount_cents: Column) -> Column:
     """Whole cents to currency units with two decimals, in exact arithmetic."""
-    return (amount_cents.cast("decimal(19,0)") / F.lit(100)).cast("decimal(18,2)")
+    return (amount_cents.cast("decimal(36,2)") * F.lit(0.01).cast("decimal(2,2)")).cast(
+        "decimal(38,2)"
+    )
 
 
 def valid(df: DataFrame, *keys: str) -> DataFrame:

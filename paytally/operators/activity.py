@@ -7,10 +7,11 @@ one row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paytally.functions import valid
+from paytally.schema import CENTS
 
 DAY = "transaction_date"
 
@@ -36,12 +37,20 @@ def canonical_pairs(payments: DataFrame) -> DataFrame:
     )
 
 
+def exact_cents() -> Column:
+    """Cents in a type that holds the negative and any sum of BIGINT amounts.
+
+    An extreme amount then costs nobody else's record: no sum can overflow.
+    """
+    return F.col("amount_cents").cast(CENTS)
+
+
 def signed_legs(payments: DataFrame) -> DataFrame:
     """Two rows per payment: the sender's ``+amount`` and the receiver's ``-amount``."""
     complete = valid(payments, "sender_id", "receiver_id", DAY, "amount_cents")
     legs = F.array(
-        F.struct(F.col("sender_id").alias("user_id"), F.col("amount_cents")),
-        F.struct(F.col("receiver_id").alias("user_id"), (-F.col("amount_cents")).alias("amount_cents")),
+        F.struct(F.col("sender_id").alias("user_id"), exact_cents().alias("amount_cents")),
+        F.struct(F.col("receiver_id").alias("user_id"), (-exact_cents()).alias("amount_cents")),
     )
     return complete.select(F.explode(legs).alias("leg"), DAY).select(
         "leg.user_id", DAY, "leg.amount_cents"
@@ -84,7 +93,7 @@ def user_day_totals(payments: DataFrame) -> DataFrame:
     a send needs only its sender and day, an amount needs both parties.
     """
     amount = F.when(
-        F.col("sender_id").isNotNull() & F.col("receiver_id").isNotNull(), F.col("amount_cents")
+        F.col("sender_id").isNotNull() & F.col("receiver_id").isNotNull(), exact_cents()
     )
     legs = F.array(
         F.struct(

@@ -19,7 +19,7 @@ from paytally.operators import (
     users_dim,
 )
 from paytally.schema import PAYMENTS, TABLES
-from paytally.session import drop_path, scratch_path
+from paytally.session import drop_path, listed_bytes, scratch_path, sized_for
 from paytally.sinks import Warehouse, insert_ignore
 from paytally.sinks.days import BatchDays
 from paytally.sources import scan_payments
@@ -53,7 +53,8 @@ def stage_payments(
 
 
 def _few(ids: DataFrame) -> bool:
-    return ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+    """Counted in the map tasks; ``ids`` are held, so nothing is computed for it alone."""
+    return ids.count() <= MAX_BROADCAST_IDS
 
 
 def _load_users(staged: DataFrame, warehouse: Warehouse) -> int:
@@ -77,14 +78,13 @@ def _load_users(staged: DataFrame, warehouse: Warehouse) -> int:
         new_ids.unpersist()
 
 
-def _known_pairs(pairs: DataFrame, totals: DataFrame, users: DataFrame) -> DataFrame:
+def _known_pairs(pairs: DataFrame, unknown: DataFrame, users: DataFrame) -> DataFrame:
     """Pairs of two known users.
 
     Both ids of a pair occur in the daily totals, so the ids found unknown there
     are all there can be. They are usually few and then are broadcast, which saves
     shuffling the pairs once per role; beyond the limit the ids are semi-joined.
     """
-    unknown = totals.where(~F.col("known")).select("user_id").distinct()
     if not _few(unknown):
         return keep_known_users(pairs, users, "user1", "user2")
     for column in ("user1", "user2"):
@@ -120,14 +120,16 @@ def load_payments(
 
     path = scratch_path(spark, "payments")
     written = {}
-    totals = None
+    totals = unknown = None
     try:
         staged = stage_payments(payments, spark, path, "net_spending" in wanted)
         if "users" in wanted:
             written["users"] = _load_users(staged, warehouse)
         if wanted - {"users"}:
             users = warehouse.read_table("users")
-            ids = users.select(F.col("id"), F.lit(True).alias("listed"))
+            # Reduced to one row per id first: Parquet does not keep ids unique, and a
+            # user who is stored twice must not double the metrics.
+            ids = users.select("id").distinct().withColumn("listed", F.lit(True))
             daily = user_day_totals(staged)
             totals = (
                 daily.join(ids, daily["user_id"] == ids["id"], "left")
@@ -135,6 +137,8 @@ def load_payments(
                 .persist(StorageLevel.MEMORY_AND_DISK)
             )
             days = BatchDays.of(totals)
+            unknown = totals.where(~F.col("known")).select("user_id").distinct()
+            unknown = unknown.persist(StorageLevel.MEMORY_AND_DISK)
 
             def append(table: str, rows: Callable[[], DataFrame]) -> Callable[[], int]:
                 return lambda: insert_ignore(
@@ -146,13 +150,14 @@ def load_payments(
                 "sender_activity": lambda: known.where("send_freq > 0"),
                 "receiver_activity": lambda: known.where("recv_freq > 0"),
                 "net_spending": lambda: known.where("amount_cents IS NOT NULL"),
-                "pair_activity": lambda: _known_pairs(pair_activity(staged), totals, users),
+                "pair_activity": lambda: _known_pairs(pair_activity(staged), unknown, users),
             }
             jobs = {t: append(t, rows) for t, rows in rows_of.items() if t in wanted}
             written.update(_side_by_side(spark, jobs))
     finally:
-        if totals is not None:
-            totals.unpersist()
+        for held in (unknown, totals):
+            if held is not None:
+                held.unpersist()
         drop_path(spark, path)
     return written
 
@@ -163,5 +168,9 @@ def run_period(
     warehouse: Warehouse,
     tables: Iterable[str] = tuple(TABLES),
 ) -> dict[str, int]:
-    """Load the JSON lines at ``source`` (see ``period_path``)."""
-    return load_payments(scan_payments(spark, source), warehouse, tables)
+    """Load the JSON lines at ``source`` (see ``period_path``).
+
+    Shuffles get as many partitions as the listed size of the files asks for.
+    """
+    with sized_for(warehouse.spark, listed_bytes(spark, source)):
+        return load_payments(scan_payments(spark, source), warehouse, tables)

@@ -125,14 +125,16 @@ REPORTS = {
 }
 
 
-def report(warehouse, metric: str, day: dt.date | str, n: int) -> DataFrame:
+def report(
+    warehouse, metric: str, day: dt.date | str, n: int, users_known: bool = False
+) -> DataFrame:
     """The report called ``metric`` over stored tables (a ``Warehouse`` or ``JdbcTarget``).
 
-    Loads keep only rows of known users and users are never removed, so the check
-    for unknown users is left out here.
+    Rows of users that are not stored (any more) take no place. ``users_known=True``
+    leaves that check out, where nobody but the loads writes to the tables.
     """
     if metric not in REPORTS:
         raise ValueError(f"unknown report {metric!r}; choose from {', '.join(REPORTS)}")
     build, table = REPORTS[metric]
     activity, users = warehouse.read_table(table), warehouse.read_table("users")
-    return build(activity, users, day, n, users_known=True)
+    return build(activity, users, day, n, users_known=users_known)

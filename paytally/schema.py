@@ -48,6 +48,12 @@ class TableSpec:
     columns: tuple[tuple[str, str], ...]
     keys: tuple[str, ...]
     user_columns: tuple[str, ...] = ()
+    not_null: tuple[str, ...] = ()
+
+    @property
+    def required(self) -> tuple[str, ...]:
+        """Columns without which a row is not stored: the keys, and those not null."""
+        return (*self.keys, *self.not_null)
 
     @property
     def column_names(self) -> list[str]:
@@ -62,6 +68,9 @@ class TableSpec:
         return ", ".join(f"`{name}` {dtype}" for name, dtype in self.columns)
 
 
+# Sums of BIGINT amounts and their negatives.
+CENTS = "DECIMAL(38,0)"
+
 # Ids and counts are BIGINT: one key may hold a large share of all payments, and
 # an INT counter would overflow (and fail the job) at that size.
 USERS = TableSpec(
@@ -74,6 +83,7 @@ USERS = TableSpec(
         ("picture", "STRING"),
     ),
     keys=("id",),
+    not_null=("username",),
 )
 SENDER_ACTIVITY = TableSpec(
     "sender_activity",
@@ -100,7 +110,7 @@ PAIR_ACTIVITY = TableSpec(
 )
 NET_SPENDING = TableSpec(
     "net_spending",
-    (("user_id", "BIGINT"), ("transaction_date", "DATE"), ("amount_cents", "BIGINT")),
+    (("user_id", "BIGINT"), ("transaction_date", "DATE"), ("amount_cents", CENTS)),
     keys=("user_id", "transaction_date"),
     user_columns=("user_id",),
 )

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,30 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     }
 
 
+def listed_bytes(spark: SparkSession, source: str | list[str]) -> int:
+    """Size of the files of a path, glob or list of such; from their listing only."""
+    total = 0
+    for path in [source] if isinstance(source, str) else source:
+        fs, target = file_system(spark, path)
+        for found in fs.globStatus(target) or []:
+            total += fs.getContentSummary(found.getPath()).getLength()
+    return total
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffle in as many partitions as that input needs, and as before afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    needed = math.ceil(input_bytes * SHUFFLED_SHARE / (128 * MB))
+    if needed > int(before):
+        spark.conf.set(key, str(needed))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def build_session(
     app_name: str = "paytally", settings: dict[str, str] | None = None, **conf: str
 ) -> SparkSession:

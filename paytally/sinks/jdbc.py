@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from paytally.functions import valid
 from paytally.operators import first_per_key, keep_known_users, new_keys_only
 from paytally.schema import TABLES
 from paytally.sinks.days import BatchDays
@@ -55,7 +56,8 @@ class JdbcTarget:
         again after a failure adds only what is missing.
         """
         spec = TABLES[table]
-        rows = first_per_key(df.select(*spec.column_names), spec.keys)
+        rows = valid(df.select(*spec.column_names), *spec.required)
+        rows = first_per_key(rows, spec.keys)
         if spec.user_columns:
             rows = keep_known_users(rows, self.read_table("users"), *spec.user_columns)
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

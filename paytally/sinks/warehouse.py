@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from paytally.functions import valid
 from paytally.operators import first_per_key, keep_known_users, new_keys_only
 from paytally.schema import TABLES
 from paytally.session import file_system
@@ -103,6 +104,7 @@ def insert_ignore(
 ) -> int:
     """Append the rows whose key is not stored yet; return how many.
 
+    Rows without a key column, or without a column that is not null, are left out.
     Within the batch the first row per key by ``order_by`` stays; pass
     ``unique=True`` if keys are unique already, and ``known_users=True`` if the
     user columns have been checked. ``days`` are the batch's days, if known.
@@ -110,7 +112,7 @@ def insert_ignore(
     spec = TABLES[table]
     warehouse.ensure_table(table)
     extra = [c for c in order_by if c not in spec.column_names]
-    rows = df.select(*spec.column_names, *extra)
+    rows = valid(df.select(*spec.column_names, *extra), *spec.required)
     if not unique:
         rows = first_per_key(rows, spec.keys, *order_by)
     rows = rows.select(*spec.column_names)

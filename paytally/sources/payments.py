@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 from paytally.functions import calendar_date, integer_id
 from paytally.schema import PROFILE_FIELDS, RAW_RECORDS, RAW_TRANSACTION
 
-# Strict JSON: Spark would by default accept single-quoted strings.
-JSON_OPTIONS = {"allowSingleQuotes": "false"}
+# Strict JSON: Spark would by default accept single-quoted strings. Its limits on the
+# length of texts and numbers and on nesting would make a whole record vanish.
+NO_LIMIT = str(2**31 - 1)
+JSON_OPTIONS = {
+    "allowSingleQuotes": "false",
+    "maxStringLen": NO_LIMIT,
+    "maxNumLen": NO_LIMIT,
+    "maxNestingDepth": NO_LIMIT,
+}
 
 
 def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

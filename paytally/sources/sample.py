@@ -136,13 +136,15 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_period_files(lines: DataFrame, root: str, prefix: str = "payments") -> None:
     """Write ``(day, value)`` lines in the layout that ``period_path`` reads.
 
-    One distributed write split by day; then each day's folder gets its final name.
+    One distributed write split by day, in partitions that Spark sizes at run time, so
+    a day with most of the lines is written by several tasks; then each day's folder
+    gets its final name.
     """
     spark = lines.sparkSession
     name = F.date_format("day", "yyyy_MM_dd")
     daily = lines.select("value", name.alias("name"))
     landing = f"{root}/_written"
-    daily.repartition("name").write.partitionBy("name").text(landing)
+    daily.hint("rebalance", "name").write.partitionBy("name").text(landing)
     fs, base = file_system(spark, landing)
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for entry in fs.listStatus(base):

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paytally.plans import load_payments
+from paytally.session import listed_bytes, sized_for
 from paytally.sinks import Warehouse
 from paytally.sources import parse_payments
 
+# Longer than any file's age, so that a file moved in with its old time is loaded too.
+MAX_FILE_AGE = "365000d"
+
 
 def ingest_available(
     spark: SparkSession, landing: str, archive: str, checkpoint: str, warehouse: Warehouse
@@ -26,11 +30,14 @@ def ingest_available(
     def load(batch: DataFrame, batch_id: int) -> None:
         # The batch is read here only, into the staged copy; nothing keeps reading
         # landing files that may be archived meanwhile.
-        loaded.append(load_payments(parse_payments(batch), warehouse))
+        with sized_for(warehouse.spark, listed_bytes(spark, landing)):
+            loaded.append(load_payments(parse_payments(batch), warehouse))
 
     lines = (
         spark.readStream.format("text")
         .option("recursiveFileLookup", "true")
+        # By default a file a week older than the newest one would never be read.
+        .option("maxFileAge", MAX_FILE_AGE)
         .option("cleanSource", "archive")
         .option("sourceArchiveDir", archive)
         .load(landing)
