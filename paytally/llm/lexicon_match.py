@@ -1,14 +1,16 @@
-"""Levenshtein automata intersected with a trie of lexicon terms."""
+"""Levenshtein automata intersected with a trie of lexicon terms.
 
-from __future__ import annotations
+The intersection is an automaton over pairs (trie node, errors so far). It is made
+deterministic as words are read: a state is a set of such pairs, and each transition is
+worked out once. Most words end in the dead state after a few letters.
+"""
 
-from dataclasses import dataclass, field
+from __future__ import annotations
 
+from dataclasses import dataclass
 
-@dataclass
-class _TrieNode:
-    children: dict[str, _TrieNode] = field(default_factory=dict)
-    term: int | None = None
+# States and transitions are forgotten beyond this many.
+MOST_STATES = 50_000
 
 
 @dataclass(frozen=True)
@@ -30,82 +32,95 @@ def allowed_errors(term: Term) -> int:
     return 0 if term.is_stem else (len(term.text) >= 6) + (len(term.text) >= 9)
 
 
-class Automaton:
-    """The Levenshtein automaton of a word: states are its positions with errors so far."""
-
-    def __init__(self, word: str, errors: int) -> None:
-        self.word, self.errors = word, errors
+class Lexicon:
+    """Terms in a trie; ``match`` runs a word through the automaton."""
 
-    def start(self) -> dict[int, int]:
-        return self._closed({0: 0})
+    def __init__(self, terms: list[Term]) -> None:
+        self.terms = terms
+        # Nodes of the trie: children, term that ends there, most errors of any below.
+        self.children: list[dict[str, int]] = [{}]
+        self.ends: list[int | None] = [None]
+        self.most: list[int] = [0]
+        for index, term in enumerate(terms):
+            node, most = 0, allowed_errors(term)
+            self.most[0] = max(self.most[0], most)
+            for letter in term.text:
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
+                    self.children.append({})
+                    self.ends.append(None)
+                    self.most.append(0)
+                node = self.children[node][letter]
+                self.most[node] = max(self.most[node], most)
+            self.ends[node] = index
+        self._forget()
+
+    def _forget(self) -> None:
+        self.states: list[dict[int, int]] = []
+        self.numbers: dict[frozenset, int] = {}
+        self.results: list[Match | None] = []
+        self.settled: list[bool] = []
+        self.moves: list[dict[str, int]] = []
+        self.first = self._number(self._closed({0: 0}))
 
     def _closed(self, state: dict[int, int]) -> dict[int, int]:
-        """With the letters of the word that may be left out."""
-        for at in sorted(state):
-            e = state[at]
-            while e < self.errors and at < len(self.word):
-                at, e = at + 1, e + 1
-                if state.get(at, self.errors + 1) <= e:
-                    break
-                state[at] = e
+        """With letters of terms left out: a node leads to its children for one error."""
+        todo = list(state)
+        while todo:
+            node = todo.pop()
+            errors = state[node] + 1
+            for child in self.children[node].values():
+                if errors <= self.most[child] and errors < state.get(child, errors + 1):
+                    state[child] = errors
+                    todo.append(child)
         return state
 
-    def step(self, state: dict[int, int], letter: str) -> dict[int, int]:
+    def _number(self, state: dict[int, int]) -> int:
+        key = frozenset(state.items())
+        if key not in self.numbers:
+            self.numbers[key] = len(self.states)
+            self.states.append(state)
+            self.moves.append({})
+            stem, whole = None, None
+            for node, errors in state.items():
+                term = self.ends[node]
+                if term is None or errors > allowed_errors(self.terms[term]):
+                    continue
+                if self.terms[term].is_stem:
+                    stem = Match(term, 0)
+                elif whole is None or (errors, term) < (whole.errors, whole.term):
+                    whole = Match(term, errors)
+            self.results.append(stem or whole)
+            self.settled.append(stem is not None)
+        return self.numbers[key]
+
+    def _step(self, number: int, letter: str) -> int:
         after: dict[int, int] = {}
-        for at, e in state.items():
-            if at < len(self.word):
-                cost = e + (self.word[at] != letter)
-                if cost <= self.errors and cost < after.get(at + 1, self.errors + 1):
-                    after[at + 1] = cost
-            if e < self.errors and e + 1 < after.get(at, self.errors + 1):
-                after[at] = e + 1
-        return self._closed(after)
-
 
-class Lexicon:
-    """Terms in a trie; ``match`` walks it together with the automaton of a word."""
+        def reach(node: int, errors: int) -> None:
+            if errors <= self.most[node] and errors < after.get(node, errors + 1):
+                after[node] = errors
 
-    def __init__(self, terms: list[Term]) -> None:
-        self.terms = terms
-        self.root = _TrieNode()
-        for index, term in enumerate(terms):
-            node = self.root
-            for letter in term.text:
-                node = node.children.setdefault(letter, _TrieNode())
-            node.term = index
-        self.most = max(map(allowed_errors, terms), default=0)
-        self.shortest = min((len(t.text) for t in terms), default=1)
+        for node, errors in self.states[number].items():
+            reach(node, errors + 1)  # a letter too many
+            for own, child in self.children[node].items():
+                reach(child, errors + (own != letter))
+        moved = self._number(self._closed(after))
+        self.moves[number][letter] = moved
+        return moved
 
     def match(self, word: str) -> Match | None:
         """The term with the fewest errors, if one is near enough; ties to the first."""
-        if len(word) < self.shortest - self.most:
-            return None
-        exact = self._spelled(word)
-        if exact is not None or not self.most:
-            return exact
-        automaton = Automaton(word, self.most)
-        best: Match | None = None
-        stack = [(self.root, automaton.start())]
-        while stack:
-            node, state = stack.pop()
-            if node.term is not None and not self.terms[node.term].is_stem:
-                errors = state.get(len(word), self.most + 1)
-                near = errors <= allowed_errors(self.terms[node.term])
-                found = Match(node.term, errors)
-                if near and (best is None or (errors, node.term) < (best.errors, best.term)):
-                    best = found
-            for letter, child in node.children.items():
-                after = automaton.step(state, letter)
-                if after:
-                    stack.append((child, after))
-        return best
-
-    def _spelled(self, word: str) -> Match | None:
-        node = self.root
+        if len(self.states) > MOST_STATES:
+            self._forget()
+        number, moves, settled = self.first, self.moves, self.settled
         for letter in word:
-            node = node.children.get(letter)
-            if node is None:
+            after = moves[number].get(letter)
+            if after is None:
+                after = self._step(number, letter)
+            number = after
+            if settled[number]:
+                break
+            if not self.states[number]:
                 return None
-            if node.term is not None and self.terms[node.term].is_stem:
-                return Match(node.term, 0)
-        return Match(node.term, 0) if node.term is not None else None
+        return self.results[number]
