@@ -10,18 +10,32 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from paytally.plans import report, run_period
 from paytally.plans.reports import REPORTS
 from paytally.schema import TABLES
 from paytally.session import build_session, settings_for
-from paytally.sinks import Warehouse
+from paytally.sinks import JdbcTarget, Warehouse
 from paytally.sources import period_path
 from paytally.streaming import ingest_available
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="paytally", description="Daily payment activity")
-    parser.add_argument("--warehouse", required=True, help="folder of the result tables")
+    target = parser.add_mutually_exclusive_group(required=True)
+    target.add_argument("--warehouse", help="folder of the result tables")
+    target.add_argument("--jdbc-url", help="database of the result tables")
+    parser.add_argument(
+        "--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="driver, user, ..."
+    )
+    parser.add_argument(
+        "--jdbc-bounds",
+        action="append",
+        default=[],
+        metavar="TABLE:COLUMN:LOWER:UPPER",
+        help="read that table over several connections",
+    )
     parser.add_argument("--database", default="paytally", help="their catalog database")
     parser.add_argument(
         "--input-bytes", type=int, help="size of the text to load, to size the partitions"
@@ -52,10 +66,19 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def target_of(spark: SparkSession, args: argparse.Namespace) -> Warehouse | JdbcTarget:
+    if args.warehouse:
+        return Warehouse(spark, args.warehouse, args.database)
+    options = dict(option.split("=", 1) for option in args.jdbc_option)
+    parts = (bound.split(":") for bound in args.jdbc_bounds)
+    bounds = {table: (column, lower, upper) for table, column, lower, upper in parts}
+    return JdbcTarget(spark, args.jdbc_url, options, bounds)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(settings=settings_for(args.input_bytes) if args.input_bytes else None)
-    warehouse = Warehouse(spark, args.warehouse, args.database)
+    warehouse = target_of(spark, args)
     if args.job == "load":
         source = period_path(args.root, args.year, args.month, args.day, args.prefix)
         print(run_period(spark, source, warehouse, args.tables))

@@ -20,7 +20,7 @@ from paytally.operators import (
 )
 from paytally.schema import PAYMENTS, TABLES
 from paytally.session import drop_path, listed_bytes, scratch_path, sized_for
-from paytally.sinks import Warehouse, insert_ignore
+from paytally.sinks import JdbcTarget, Warehouse, insert_ignore
 from paytally.sinks.days import BatchDays
 from paytally.sources import scan_payments
 
@@ -57,7 +57,7 @@ def _few(ids: DataFrame) -> bool:
     return ids.count() <= MAX_BROADCAST_IDS
 
 
-def _load_users(staged: DataFrame, warehouse: Warehouse) -> int:
+def _load_users(staged: DataFrame, warehouse: Warehouse | JdbcTarget) -> int:
     """Append the users that are not stored yet.
 
     The ids alone tell which ones are new, in a cheap hash aggregate. Usually they
@@ -104,7 +104,7 @@ def _side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], int]]) -> di
 
 
 def load_payments(
-    payments: DataFrame, warehouse: Warehouse, tables: Iterable[str] = tuple(TABLES)
+    payments: DataFrame, warehouse: Warehouse | JdbcTarget, tables: Iterable[str] = tuple(TABLES)
 ) -> dict[str, int]:
     """Load ``tables`` from a payments frame; return the rows written per table.
 
@@ -165,7 +165,7 @@ def load_payments(
 def run_period(
     spark: SparkSession,
     source: str | list[str],
-    warehouse: Warehouse,
+    warehouse: Warehouse | JdbcTarget,
     tables: Iterable[str] = tuple(TABLES),
 ) -> dict[str, int]:
     """Load the JSON lines at ``source`` (see ``period_path``).

@@ -19,6 +19,7 @@ from paytally.operators import first_per_key, keep_known_users, new_keys_only
 from paytally.schema import TABLES
 from paytally.session import file_system
 from paytally.sinks.days import BatchDays
+from paytally.sinks.jdbc import JdbcTarget
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,9 @@ class Warehouse:
         self.ensure_table(table)
         return self.spark.table(self.full_name(table)).select(*TABLES[table].column_names)
 
+    def read_staged(self, staging: str, table: str) -> DataFrame:
+        return self.spark.table(self.full_name(staging))
+
     def append(self, df: DataFrame, table: str, days: BatchDays | None = None) -> int:
         """Append rows and return how many; counted while they are written.
 
@@ -94,7 +98,7 @@ class Warehouse:
 
 def insert_ignore(
     df: DataFrame,
-    warehouse: Warehouse,
+    warehouse: Warehouse | JdbcTarget,
     table: str,
     *,
     order_by: Sequence[str] = (),
@@ -139,8 +143,10 @@ def insert_ignore(
             held.unpersist()
 
 
-def stage(df: DataFrame, warehouse: Warehouse, table: str) -> str:
+def stage(df: DataFrame, warehouse: Warehouse | JdbcTarget, table: str) -> str:
     """Replace the staging table of ``table`` with ``df``; return its name."""
+    if isinstance(warehouse, JdbcTarget):
+        return warehouse.stage(df, table)
     staging = f"{table}_temp"
     warehouse.ensure_database()
     rows = df.select(*TABLES[table].column_names)
@@ -149,7 +155,6 @@ def stage(df: DataFrame, warehouse: Warehouse, table: str) -> str:
     return staging
 
 
-def merge_staged(warehouse: Warehouse, staging: str, table: str) -> int:
+def merge_staged(warehouse: Warehouse | JdbcTarget, staging: str, table: str) -> int:
     """Move staged rows into ``table``, keeping rows that are already there."""
-    staged = warehouse.spark.table(warehouse.full_name(staging))
-    return insert_ignore(staged, warehouse, table)
+    return insert_ignore(warehouse.read_staged(staging, table), warehouse, table)

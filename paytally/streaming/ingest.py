@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paytally.plans import load_payments
 from paytally.session import listed_bytes, sized_for
-from paytally.sinks import Warehouse
+from paytally.sinks import JdbcTarget, Warehouse
 from paytally.sources import parse_payments
 
 # Longer than any file's age, so that a file moved in with its old time is loaded too.
@@ -14,7 +14,7 @@ MAX_FILE_AGE = "365000d"
 
 
 def ingest_available(
-    spark: SparkSession, landing: str, archive: str, checkpoint: str, warehouse: Warehouse
+    spark: SparkSession, landing: str, archive: str, checkpoint: str, warehouse: Warehouse | JdbcTarget
 ) -> list[dict[str, int]]:
     """Load all files that landed since the last run; return rows written per batch.
 

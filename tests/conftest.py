@@ -39,8 +39,6 @@ def party(ident, name="Ann", **changes):
         "firstname": name,
         "lastname": "Lee",
         "picture": f"http://pics/{ident}",
-        "is_business": False,
-        "external_id": "13",
     }
     fields.update(changes)
     return {k: v for k, v in fields.items() if v is not ...}
@@ -53,8 +51,6 @@ def payment(sender="7", receiver="9", at="2017-01-05T10:00:00Z", **changes):
         "actor": party(sender),
         "transactions": [{"target": party(receiver)}],
         "amount_cents": 250,
-        "message": "Lol",
-        "likes": {"count": 0, "data": []},
     }
     record.update(changes)
     return {k: v for k, v in record.items() if v is not ...}
