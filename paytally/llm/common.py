@@ -31,10 +31,15 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def partitions(df: DataFrame, bytes_each: int = 32 * MB) -> int:
-    """Enough partitions for ``df`` that each holds about ``bytes_each``."""
-    spark = df.sparkSession
-    least = spark.sparkContext.defaultParallelism
-    return max(least, math.ceil(planned_bytes(df) / bytes_each))
+    """Enough partitions for ``df`` that each holds about ``bytes_each``.
+
+    Where Spark knows no size (it then gives one beyond any store), its setting for
+    shuffles is taken.
+    """
+    spark, size = df.sparkSession, planned_bytes(df)
+    if size >= 1 << 60:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, math.ceil(size / bytes_each))
 
 
 def materialised(df: DataFrame, purpose: str) -> DataFrame:
