@@ -1,0 +1,390 @@
+"""Quality rules, toxicity, language, near duplicates and the pipeline."""
+
+import random
+import re
+from collections import Counter
+from itertools import combinations
+from math import log
+
+import numpy as np
+import pandas as pd
+import public_tokenizers as public
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as entry_points
+import check
+import corpus_pipeline
+from paytally.llm import language, queries, simhash, toxicity
+from paytally.llm.components import components
+from paytally.llm.folds import held_out
+from paytally.llm.lexicon_match import Lexicon, Term, allowed_errors
+from paytally.llm.quality import accepted, quality
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# --- quality rules -----------------------------------------------------------
+
+
+def measures(text):
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    places = {}
+    for i in range(len(words) - 7):
+        places.setdefault(tuple(words[i : i + 8]), []).append(i)
+    covered = {i + k for p in places.values() if len(p) > 1 for i in p for k in range(8)}
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(text.count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def test_measures_equal_brute_force(docs, odd):
+    rng = random.Random(0)
+    made = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    made += ["\n".join(rng.choice(["x y", "z", "", " ", "#$"]) for _ in range(20)) for _ in range(20)]
+    rows = [*odd, *((100 + i, t) for i, t in enumerate(made)), (200, "a b c 😀😀 ‣ x")]
+    found = quality(docs(*rows)).collect()
+    got = Counter((r.doc_id, r.text, *(r[c] for c in COUNTS)) for r in found)
+    assert got == Counter((i, t, *measures(t or "")) for i, t in rows)
+    for r in found:
+        base = r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words
+        assert r.base_failed == base and (not r.kept or not base)
+        assert r.kept == (not base and not r.failed)
+
+
+def test_accepted_rows_keep_their_columns(docs):
+    clean = "The river and the bridge of the old town " + " ".join(f"word{i}" for i in range(30))
+    frame = docs((1, clean), (2, None), (3, "#$ " * 50), (1, clean))
+    kept = accepted(frame)
+    assert kept.columns == frame.columns
+    assert [tuple(r) for r in kept.collect()] == [(1, clean, "x", "x", "x", "x")] * 2
+    assert accepted(frame.limit(0)).collect() == []
+
+
+def test_quality_runs_no_python(spark):
+    plan = queries.op6_quality_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_op6(spark):
+    assert check.compare(spark, check.connect(SF), SF, "op6_quality_rules") == ""
+
+
+# --- toxicity ------------------------------------------------------------------
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+TERMS = [Term("moron", False), Term("stupid", False), Term("disgusting", False), Term("vequ", True)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from(TERMS), st.lists(st.tuples(st.integers(0, 2), st.integers(0, 10), st.sampled_from("aiou")), max_size=3))
+def test_automaton_equals_edit_distance(term, changes):
+    word = list(term.text)
+    for kind, at, letter in changes:
+        if kind == 0:
+            word.insert(at % (len(word) + 1), letter)
+        elif word:
+            word[at % len(word) : at % len(word) + 1] = [letter] if kind == 1 else []
+    word = "".join(word)
+    near = []
+    for i, t in enumerate(TERMS):
+        if t.is_stem:
+            near += [(0, i)] if word.startswith(t.text) else []
+        elif edits(word, t.text) <= allowed_errors(t):
+            near.append((edits(word, t.text), i))
+    found = LEXICON.match(word)
+    assert (found is None) == (not near)
+    assert found is None or found.errors == min(near)[0]
+
+
+LEXICON = Lexicon(TERMS)
+
+
+def test_context_tells_quotation_from_abuse():
+    counter = toxicity.HitCounter(TERMS, frozenset(["stupidi"]))
+    texts = [
+        "you moron", "he said \"moron\" once", "Stupd and stupidi", "Vequation", "", "moronic morons",
+    ]
+    assert list(counter.hits(texts)) == [(1, 0, 0), (0, 1, 0), (0, 0, 1), (1, 0, 0), (0, 0, 0), (0, 0, 0)]
+
+
+def labelled(spark, count=900):
+    """Documents of random words; toxic ones hold one of three insults in random places."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(count):
+        words = ["".join(rng.choices("abdegilnorstu", k=rng.randint(3, 8))) for _ in range(40)]
+        toxic = i % 3 == 0
+        if toxic:
+            for _ in range(3):
+                insult = rng.choice(["grobbler", "snivelwit", "zorp" + rng.choice("aeiou") + "x"])
+                words.insert(rng.randrange(40), insult)
+        rows.append((i, " ".join(words), "x"))
+        labels.append((i, int(toxic), "x"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+
+
+def test_toxicity_is_learned_and_holds_out(spark):
+    docs, labels = labelled(spark)
+    terms, _, _ = model = toxicity.train(docs, labels)
+    assert {"grobbler", "snivelwit"} <= {t.text for t in terms if not t.is_stem}
+    assert any(t.is_stem and t.text.startswith("zorp") for t in terms)
+    new = [(1, "you are a grobbler indeed"), (2, "a snivelwitt walks by"), (3, "hello there"), (4, None), (5, "")]
+    frame = spark.createDataFrame(new, "doc_id long, text string")
+    found = {r.doc_id: r for r in toxicity.scores(frame, model).collect()}
+    assert found[1].predicted == 1 and found[1].score > found[2].score > found[3].score
+    assert found[3].predicted == found[4].predicted == found[5].predicted == 0
+    assert found[3].score == found[4].score
+    every = toxicity.toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    held = [r for r in every if r.held_out]
+    assert held and np.mean([r.predicted == r.toxic for r in held]) > 0.98
+    # Held-out labels are never read: without them the scores are the same.
+    again = toxicity.toxicity(docs, labels.where(~held_out())).collect()
+    assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in every}
+
+
+def test_toxicity_without_labels(spark, docs, odd):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    rows = toxicity.toxicity(docs(*odd), none).collect()
+    assert len(rows) == len(odd) and {r.predicted for r in rows} == {0}
+    assert toxicity.toxicity(docs(*odd).limit(0), none).collect() == []
+
+
+def test_op8(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = queries.op8_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    caught = [r.predicted for r in held if r.toxic == 1]
+    clean = [r.predicted for r in held if r.toxic == 0]
+    assert np.mean(caught) >= 0.6 and np.mean(clean) <= 0.02
+
+
+# --- language ------------------------------------------------------------------
+
+
+def test_forward_algorithm_sums_over_all_segmentations():
+    pieces = {"▁a": 0, "a": 1, "b": 2, "ab": 3, "▁": 4, "aba": 5}
+    table = np.array([[0.1], [0.2], [0.15], [0.25], [0.05], [0.2], [0.001], [0.0]])
+
+    def brute(word, i=0):
+        if i == len(word):
+            return 1.0
+        total = 0.0
+        for j in range(i + 1, len(word) + 1):
+            k = pieces.get(word[i:j], 6 if j == i + 1 else 7)
+            total += table[k, 0] * brute(word, j) if table[k, 0] else 0.0
+        return total
+
+    words = ["a", "ab", "abab", "xaba", "abaabaababx", "b" * 13]
+    got = language.log_probabilities(words, pieces, table)[:, 0]
+    assert np.allclose(got, [log(brute("▁" + w)) for w in words])
+    long = language.log_probabilities(["ab" * 3000], pieces, table)
+    assert np.isfinite(long).all() and long[0, 0] < -1000
+
+
+def test_expected_counts_are_those_of_all_segmentations():
+    pieces = {"▁": 0, "a": 1, "aa": 2}
+    p = np.array([0.2, 0.3, 0.4, 0.1, 0.0])
+    # ▁aa is ▁ a a or ▁ aa.
+    one, two = 0.2 * 0.3 * 0.3, 0.2 * 0.4
+    counts = language.expected_counts(["aa"], np.array([5.0]), pieces, p)
+    assert np.allclose(counts[:3], np.array([one + two, 2 * one, two]) / (one + two) * 5)
+
+
+def test_op9_on_held_out_documents(spark, docs, odd):
+    rows = queries.op9_language(spark, SF).collect()
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == langs[r.doc_id] for r in held]) >= 0.97
+    assert all(0 <= r.score <= 1 for r in rows) and len(rows) == len(langs)
+
+
+def test_odd_texts_have_a_language_or_none(spark, docs, odd):
+    pieces = language.read_pieces(public.path("piece_bpe_32k.model"))
+    train = [(i, f"the and of {w}", "en") for i, w in enumerate("abcdefghij")]
+    train += [(100 + i, f"der und die {w}", "de") for i, w in enumerate("abcdefghij")]
+    train += [(300, "nothing", None), (301, None, "fr"), (None, "le", "fr")]
+    frame = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    model = language.train(frame, pieces)
+    assert model.languages == ("de", "en")
+    new = docs(*odd, (8, "THE AND"), (9, "der und"), (10, "123 %% 4"), (11, "漢字"))
+    found = language.identify(new, model).collect()
+    by_id = {r.doc_id: r for r in found}
+    assert by_id[8].lang_pred == "en" and by_id[9].lang_pred == "de"
+    assert {(by_id[i].lang_pred, by_id[i].score) for i in (1, 2, 3, 10)} == {("und", 0.0)}
+    assert by_id[11].lang_pred in ("de", "en") and len(found) == len(odd) + 4
+    empty = language.train(frame.limit(0), pieces)
+    assert {r.lang_pred for r in language.identify(new, empty).collect()} == {"und"}
+    assert language.identify(new.limit(0), model).collect() == []
+
+
+# --- near duplicates -------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = WORD.findall(text)
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(keys, near):
+    parent = {k: k for k in keys}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in combinations(sorted(keys), 2):
+        if near(a, b):
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    return {k: root(k) for k in keys}
+
+
+def test_golay_code_is_perfect():
+    code = simhash.Golay(2)
+    for excess, size in ((0, 2048), (1, 8855), (2, 33649)):
+        patterns, starts = code.patterns[excess]
+        assert len(patterns) == size and starts[-1] == size
+    words, starts = code.patterns[0]
+    assert (np.diff(starts) == 1).all()
+    index, near = code.near(np.array([0b1011, 12345]), 0)
+    assert (code.syndromes(near) == 0).all()
+    assert all(bin(int(a ^ b)).count("1") <= 3 for a, b in zip([0b1011, 12345], near, strict=True))
+
+
+@pytest.mark.parametrize(("most", "at_home"), [(2, 64), (2, 2), (1, 64), (0, 64)])
+def test_links_connect_as_all_pairs_would(spark, most, at_home):
+    rng = np.random.default_rng(most)
+    base = rng.integers(-(2**63), 2**63, 60, dtype=np.int64)
+    parts = [base, np.array([0, -1, 1, -(2**63)], np.int64)]
+    for _ in range(4):
+        flips = np.int64(1) << rng.integers(0, 63, (3, 60)).astype(np.int64)
+        count = rng.integers(1, 4)
+        parts.append(base ^ np.bitwise_xor.reduce(flips[:count], axis=0))
+    parts.append(np.array([int(base[0]) ^ (1 << i) ^ (1 << j) for i in range(12) for j in range(i)], np.int64))
+    fps = np.unique(np.concatenate(parts))
+    frame = spark.createDataFrame(pd.DataFrame({"fp": fps}))
+    links = simhash.fingerprint_links(frame, most, at_home)
+
+    def near(a, b):
+        return ((a ^ b) & (2**64 - 1)).bit_count() <= most
+
+    assert all(near(r.a, r.b) for r in links.collect())
+    roots = {r.node: r.root for r in components(links).collect()}
+    assert {int(k): roots.get(int(k), int(k)) for k in fps} == plain_components(fps.tolist(), near)
+
+
+def test_components_of_long_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(100)]
+    star = [(1000, 1000 + i) for i in range(1, 200)]
+    frame = spark.createDataFrame([*chain, *star, (5, 5), (3, 2), (2, 3)], "a long, b long")
+    roots = {r.node: r.root for r in components(frame).collect()}
+    assert roots == {i: 0 for i in range(101)} | {1000 + i: 1000 for i in range(200)}
+    assert components(frame.limit(0)).collect() == []
+
+
+def test_near_duplicates_equal_brute_force(docs, odd):
+    rng = random.Random(2)
+    base = [rng.choice(["red", "GREEN", "blue", "tin", "oak"]) + str(rng.randint(0, 9)) for _ in range(400)]
+    rows = [*odd, (20, " ".join(base)), (21, " ".join([*base[:-1], "end"])), (22, " ".join(base).upper())]
+    rows += [(30 + i, f"text {i} of its own " * 3) for i in range(10)] + [(19, " ".join(base))]
+    found = simhash.near_duplicates(docs(*rows)).collect()
+    prints = [plain_fingerprint(t or "") for _, t in rows]
+    roots = plain_components(set(prints), lambda a, b: (a ^ b).bit_count() <= 2)
+    least = {}
+    for (i, _), p in zip(rows, prints, strict=True):
+        if i is not None:
+            least[roots[p]] = min(i, least.get(roots[p], i))
+    want = Counter(
+        (i, f"{p:016x}", least.get(roots[p])) for (i, _), p in zip(rows, prints, strict=True)
+    )
+    assert Counter(map(tuple, found)) == want
+    assert simhash.near_duplicates(docs(*rows).limit(0)).collect() == []
+
+
+def test_op10_equals_brute_force(spark, texts):
+    prints = {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+    roots = plain_components(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 2)
+    least = {}
+    for i, p in prints.items():
+        least.setdefault(roots[p], i)
+    found = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op10_simhash(spark, SF).collect()}
+    assert found == {i: (f"{p:016x}", least[roots[p]]) for i, p in prints.items()}
+
+
+# --- pipeline --------------------------------------------------------------------
+
+
+def test_stages_keep_columns_and_decide(spark, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = corpus_pipeline.materialised(stage(spark, docs, SF), f"test-{name}")
+        assert path.columns == columns
+        after = {r.doc_id: r.text for r in path.collect()}
+        assert after and set(after) <= set(before) and all(before[i] == t for i, t in after.items())
+        if name == "quality":
+            kept = {r.doc_id for r in queries.op6_quality_rules(spark, SF).where("kept").collect()}
+            assert set(after) == kept
+        if name == "near_duplicates":
+            prints = {i: plain_fingerprint(t) for i, t in before.items()}
+            roots = plain_components(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 2)
+            groups = {}
+            for i, p in sorted(prints.items()):
+                groups.setdefault(roots[p], i)
+            assert set(after) == set(groups.values())
+        before, docs = after, path
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id for r in rows} == set(before)
+    assert max(Counter(r.sequence_id for r in rows).values()) > 1
+
+
+def test_stages_of_odd_rows(spark, odd):
+    clean = "The river and the bridge of the old town are in the valley " + " ".join(
+        f"with{chr(97 + i)} stone" for i in range(20)
+    )
+    rows = [(*r, "en", "s", 1) for r in [*odd, (50, clean), (50, clean), (None, clean), (51, clean)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialised(stage(spark, docs, SF), "odd")
+    # Of the copies the least id stays once; a row without an id cannot be named.
+    kept = [r.doc_id for r in docs.collect() if r.text == clean]
+    assert sorted(kept, key=str) == [50, None]
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).collect() == []
+
+
+def test_every_operator_is_registered():
+    names = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert "pipeline" in entry_points.queries()
