@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytally.llm.common import materialised, slices
+from paytally.llm.common import let, materialised, slices
 from paytally.llm.folds import held_out, learnable, sample_per_class
 from paytally.llm.lexicon_match import Lexicon, Match, Term
 
@@ -54,13 +54,14 @@ def learn_lexicon(sample: DataFrame) -> list[Term]:
     A context is the word with the one before it, so copies of a document count once.
     """
     words = F.split(F.lower("text"), r"[^\p{L}]+")
-    placed = sample.select("toxic", words.alias("w")).select(
-        "toxic", F.posexplode("w").alias("i", "word"), "w"
-    )
-    # The words ride along only as the one before: the array is pruned by then.
-    before = F.coalesce(F.get("w", F.col("i") - 1), F.lit(""))
+
+    def with_before(w):
+        before = lambda i: F.coalesce(F.get(w, i - 1), F.lit(""))
+        return F.transform(w, lambda x, i: F.struct(x.alias("word"), before(i).alias("before")))
+
+    placed = sample.select("toxic", F.explode(let(words, with_before)).alias("p"))
     contexts = (
-        placed.select("word", before.alias("before"), "toxic")
+        placed.select("p.word", "p.before", "toxic")
         .where(F.char_length("word") >= SHORTEST)
         .groupBy("word", "before")
         .agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("all_toxic"))
