@@ -15,10 +15,12 @@ MOST_STATES = 50_000
 
 @dataclass(frozen=True)
 class Term:
-    """A lexicon entry; a stem matches words that begin with it."""
+    """A lexicon entry; a stem matches words that begin with it. What a hit says is its
+    ``evidence``, in log odds."""
 
     text: str
     is_stem: bool
+    evidence: float = 1.0
 
 
 @dataclass(frozen=True)

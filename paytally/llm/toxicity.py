@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,15 @@ from paytally.llm.lexicon_match import Lexicon, Match, Term
 # Labelled documents learned from, about this many of each label.
 SAMPLE_DOCS = 6000
 # A term stands in this many different contexts of toxic documents at least, and in at
-# most a fiftieth as many of the others. At most MOST_TERMS, the most frequent ones.
+# most an eighth as many of the others. At most MOST_TERMS, the most frequent ones. A
+# word with a third as many contexts elsewhere as in toxic documents is harmless.
 LEAST_CONTEXTS = 8
-PURITY = 50
+PURITY = 8
+HARMLESS = 3
 SHORTEST, LONGEST, MOST_TERMS = 3, 24, 2000
 PREDICTED_FROM = 0.3
 CONTEXT = 6
+MOST_EVIDENCE = 12.0
 MOST_KNOWN = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -48,10 +52,13 @@ _REPORTING = frozenset(
 )
 
 
-def learn_lexicon(sample: DataFrame) -> list[Term]:
-    """Terms from ``sample`` (text, toxic); counted by Spark over words in context.
+def learn_lexicon(sample: DataFrame) -> tuple[list[Term], frozenset[str]]:
+    """Terms from ``sample`` (text, toxic), and words below them that are harmless.
 
-    A context is the word with the one before it, so copies of a document count once.
+    Counted by Spark over words in context: a context is the word with the one before
+    it, so copies of a document count once. A word that is about as much at home
+    elsewhere is harmless itself, and says nothing for or against its beginnings: a
+    stem may have innocent relatives.
     """
     words = F.split(F.lower("text"), r"[^\p{L}]+")
 
@@ -70,16 +77,20 @@ def learn_lexicon(sample: DataFrame) -> list[Term]:
     counted = contexts.groupBy(word.alias("word")).agg(
         F.sum("toxic").alias("bad"), F.count_if(F.col("all_toxic") == 0).alias("good")
     )
-    counted = materialised(counted, "words")
+    at_home = (F.col("good") >= 2) & (F.col("good") * HARMLESS >= F.col("bad"))
+    counted = materialised(counted.withColumn("harmless", at_home), "words")
     starts = counted.select(
         "bad",
         "good",
         "word",
+        "harmless",
         F.explode(F.sequence(F.lit(SHORTEST), F.char_length("word"))).alias("n"),
-    ).select("bad", "good", F.expr("substring(word, 1, n)").alias("start"), "word")
+    ).select("bad", "good", "harmless", F.expr("substring(word, 1, n)").alias("start"), "word")
     whole = F.when(F.col("word") == F.col("start"), F.col("bad"))
-    totals = starts.groupBy("start").agg(
-        F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.sum(whole).alias("whole")
+    totals = (
+        starts.where("NOT harmless")
+        .groupBy("start")
+        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.sum(whole).alias("whole"))
     )
     pure = totals.where(
         (F.col("bad") >= LEAST_CONTEXTS) & (F.col("good") * PURITY <= F.col("bad"))
@@ -88,7 +99,21 @@ def learn_lexicon(sample: DataFrame) -> list[Term]:
         MOST_TERMS * LONGEST
     )
     rows = {r.start: r for r in ranked.collect()}
-    return _terms({s: (r.bad, r.whole or 0) for s, r in rows.items()})
+    usual = counted.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    usual_odds = ((usual.bad or 0) + 1) / ((usual.good or 0) + 1)
+    terms = [
+        Term(
+            t.text,
+            t.is_stem,
+            max(0.5, log((rows[t.text].bad + 0.5) / (rows[t.text].good + 0.5) / usual_odds)),
+        )
+        for t in _terms({s: (r.bad, r.whole or 0) for s, r in rows.items()})
+    ]
+    if not terms:
+        return [], frozenset()
+    stems = sample.sparkSession.createDataFrame([(t.text,) for t in terms], "start string")
+    relatives = starts.where("harmless").join(F.broadcast(stems), "start").select("word")
+    return terms, frozenset(r.word for r in relatives.distinct().collect())
 
 
 def _terms(pure: dict[str, tuple[int, int]]) -> list[Term]:
@@ -112,7 +137,10 @@ def _terms(pure: dict[str, tuple[int, int]]) -> list[Term]:
 
 
 class HitCounter:
-    """Abusive, quoted and misspelled hits of texts; words met before are looked up."""
+    """Evidence of abusive hits, and numbers of quoted and misspelled ones, of texts.
+
+    Evidence is rounded to quarters, so that few different cases are told apart.
+    """
 
     def __init__(self, terms: list[Term], harmless: frozenset[str]) -> None:
         self.lexicon = Lexicon(terms)
@@ -126,11 +154,11 @@ class HitCounter:
         for word in words:
             if word not in known:
                 found = match(word)
-                if found and found.errors and word in self.harmless:
+                if found and word in self.harmless:
                     found = None
                 known[word] = found
 
-    def hits(self, texts: list[str]) -> Iterator[tuple[int, int, int]]:
+    def hits(self, texts: list[str]) -> Iterator[tuple[float, int, int]]:
         for first, last in slices(map(len, texts)):
             lower = [t.lower() for t in texts[first:last]]
             own = [_WORD.findall(t) for t in lower]
@@ -140,11 +168,11 @@ class HitCounter:
                 if any(known[w] for w in words):
                     yield self._in_context(text)
                 else:
-                    yield 0, 0, 0
+                    yield 0.0, 0, 0
 
-    def _in_context(self, text: str) -> tuple[int, int, int]:
+    def _in_context(self, text: str) -> tuple[float, int, int]:
         tokens = _TOKEN.findall(text)
-        known, abuse, quoted, misspelled = self.known, 0, 0, 0
+        known, abuse, quoted, misspelled = self.known, 0.0, 0, 0
         for i, token in enumerate(tokens):
             found = known.get(token) if token not in _MARKS else None
             if not found:
@@ -158,8 +186,8 @@ class HitCounter:
             elif within or (told and any(t in _MARKS for t in before + after)):
                 quoted += 1
             else:
-                abuse += 1
-        return abuse, quoted, misspelled
+                abuse += self.lexicon.terms[found.term].evidence
+        return min(MOST_EVIDENCE, round(4 * abuse) / 4), min(9, quoted), min(9, misspelled)
 
 
 def misspellings(sample: DataFrame, terms: list[Term]) -> frozenset[str]:
@@ -184,9 +212,10 @@ def misspellings(sample: DataFrame, terms: list[Term]) -> frozenset[str]:
 
 
 def _vector(abuse, quoted, misspelled) -> list:
-    """What the model sees: whether and how many hits there are of each sort."""
-    one = [np.ones_like(np.asarray(abuse, float))]
-    for n in (abuse, quoted, misspelled):
+    """What the model sees: the evidence, and whether and how many other hits there are."""
+    abuse = np.asarray(abuse, float)
+    one = [np.ones_like(abuse), abuse]
+    for n in (quoted, misspelled):
         n = np.asarray(n, float)
         one += [(n > 0).astype(float), np.log1p(n)]
     return one
@@ -197,14 +226,15 @@ def fit(hits: np.ndarray, toxic: np.ndarray, weight: np.ndarray, ridge: float =
     x = np.stack(_vector(*hits.T), axis=1)
     # Hits never speak against toxicity; where there are none to learn from, a
     # misspelling counts somewhat and a quotation little.
-    prior = np.array([-3.0, 3.0, 0.5, 1.0, 0.2, 2.0, 0.5])
+    prior = np.array([-3.0, 0.8, 1.0, 0.2, 2.0, 0.5])
     w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (weight * (toxic - p)) - ridge * (w - prior)
         bend = (x.T * (weight * p * (1 - p))) @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(bend, slope)
-        w = w + step
+        # No step is longer than one, so that saturated cases cannot throw it off.
+        w = w + step / max(1.0, np.abs(step).max())
         if np.abs(step).max() < 1e-9:
             break
     w[1:] = np.maximum(w[1:], 0.0)
@@ -212,7 +242,7 @@ def fit(hits: np.ndarray, toxic: np.ndarray, weight: np.ndarray, ridge: float =
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[Term], frozenset[str], np.ndarray]:
-    """Lexicon, near words that are harmless, and weights, from rows that are not held out."""
+    """Lexicon, words near it that are harmless, and weights; nothing held out is read."""
     judged = (
         labels.where(F.col("toxic").isin(0, 1) & learnable())
         .groupBy("doc_id")
@@ -223,8 +253,8 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[Term], frozenset[str
     # Bounded by SAMPLE_DOCS, so small enough for every task.
     sample = materialised(texts.join(F.broadcast(chosen), "doc_id"), "labelled")
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(3))
-    terms = learn_lexicon(sample.where(half > 0))
-    harmless = misspellings(sample.where(half > 0), terms)
+    terms, relatives = learn_lexicon(sample.where(half > 0))
+    harmless = relatives | misspellings(sample.where(half > 0), terms)
     shared = docs.sparkSession.sparkContext.broadcast((terms, harmless))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,19 +262,19 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[Term], frozenset[str
         for batch in batches:
             found = list(counter.hits([t or "" for t in batch.column(1).to_pylist()]))
             columns = list(zip(*found, strict=True)) or [[], [], []]
-            arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in columns)]
+            arrays = [batch.column(0), *(pa.array(c, pa.float64()) for c in columns)]
             yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "abuse", "quoted", "odd"])
 
     counted = (
         sample.where(half == 0)
         .select("toxic", "text")
-        .mapInArrow(run, "toxic int, abuse long, quoted long, odd long")
-        .groupBy("toxic", *(F.least(c, F.lit(50)).alias(c) for c in ("abuse", "quoted", "odd")))
+        .mapInArrow(run, "toxic int, abuse double, quoted double, odd double")
+        .groupBy("toxic", "abuse", "quoted", "odd")
         .count()
         .toPandas()
     )
     if counted["toxic"].nunique() < 2:
-        return [], frozenset(), np.array([-50.0] + [0.0] * 6)
+        return [], frozenset(), np.array([-50.0] + [0.0] * 5)
     n = counted["count"].to_numpy(float)
     toxic = counted["toxic"].to_numpy(float)
     # Both labels weigh as they do among all labelled documents.
@@ -269,7 +299,6 @@ def scores(docs: DataFrame, model: tuple[list[Term], frozenset[str], np.ndarray]
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             hits = np.array(list(counter.hits(texts)), float).reshape(-1, 3)
-            hits = np.minimum(hits, 50)
             found = 1 / (1 + np.exp(-np.clip(np.stack(_vector(*hits.T), axis=1) @ weights, -30, 30)))
             arrays = [
                 *batch.columns[:-1],
