@@ -94,7 +94,7 @@ def edits(a, b):
     return row[-1]
 
 
-TERMS = [Term("moron", False), Term("stupid", False), Term("disgusting", False), Term("vequ", True)]
+TERMS = [Term("moron", False), Term("stupid", False), Term("disgusting", False), Term("vequ", True, 2.6)]
 
 
 @settings(max_examples=300, deadline=None)
@@ -122,11 +122,14 @@ LEXICON = Lexicon(TERMS)
 
 
 def test_context_tells_quotation_from_abuse():
-    counter = toxicity.HitCounter(TERMS, frozenset(["stupidi"]))
+    counter = toxicity.HitCounter(TERMS, frozenset(["stupidi", "vequs"]))
     texts = [
         "you moron", "he said \"moron\" once", "Stupd and stupidi", "Vequation", "", "moronic morons",
+        "moron " * 50, "vequs",
+    ]
+    assert list(counter.hits(texts)) == [
+        (1, 0, 0), (0, 1, 0), (0, 0, 1), (2.5, 0, 0), (0, 0, 0), (0, 0, 0), (12, 0, 0), (0, 0, 0)
     ]
-    assert list(counter.hits(texts)) == [(1, 0, 0), (0, 1, 0), (0, 0, 1), (1, 0, 0), (0, 0, 0), (0, 0, 0)]
 
 
 def labelled(spark, count=900):
