@@ -60,7 +60,7 @@ RULES = (
     Rule("short_words", "word_chars", "n_words", low=150),
     Rule("long_words", "word_chars", "n_words", high=1500),
     Rule("symbols", "n_symbols", "n_words", high=10),
-    Rule("stop_words", "n_stop_words", "one", low=200, least_words=80),
+    Rule("stop_words", "n_stop_words", "one", low=100, least_words=100),
     Rule("repeated_lines", "n_dup_lines", "n_lines", high=50),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=90, least_words=50),
     Rule("cut_lines", "n_cut_lines", "n_lines", high=50, least_words=50),
