@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,7 +69,7 @@ def slices(sizes: Iterable[int], most: int = SLICE_CHARS) -> Iterator[tuple[int,
 class IdLists:
     """Lists of ids by key, stored one after the other; forgets all when too large."""
 
-    def __init__(self, most: int = 16 * MB) -> None:
+    def __init__(self, most: int = 32 * MB) -> None:
         self.most = most
         self.clear()
 
@@ -90,8 +91,8 @@ class IdLists:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.starts[base + 1 : base + 1 + len(keys)] = self.used + np.cumsum(lengths)
         if total:
-            self.ids[self.used : self.used + total] = np.concatenate(
-                [np.asarray(x, np.uint32) for x in lists]
+            self.ids[self.used : self.used + total] = np.fromiter(
+                chain.from_iterable(lists), np.uint32, total
             )
         self.used += total
         self.place.update(zip(keys, range(base, base + len(keys)), strict=True))
@@ -120,11 +121,12 @@ def id_lists_of(
             known.clear()
         cut = [pieces(text) for text in texts[first:last]]
         place = known.place
-        new = list({p for own in cut for p in own if p not in place})
+        new = [p for p in set().union(*cut) if p not in place]
         if new:
             known.add(new, encode(new))
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat = np.fromiter((place[p] for own in cut for p in own), np.int64, int(counts.sum()))
+        places = map(place.__getitem__, chain.from_iterable(cut))
+        flat = np.fromiter(places, np.int64, int(counts.sum()))
         ids, lengths = known.gather(flat)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
         begin = 0

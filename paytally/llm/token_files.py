@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from paytally.llm.common import partitions
+from paytally.llm.common import MB, partitions
 from paytally.llm.files import existing_file, new_file
 from paytally.llm.frame_of_reference import TokenFile, file_bytes
 from paytally.llm.tokenizer import definition, library_encoder
 
-IDS_PER_FILE = 4_000_000
+IDS_PER_FILE = 2_000_000
+# A task sorts and encodes about this much of the table, as Spark estimates its size.
+PART_BYTES = 6 * MB
 # Documents are read back this many ids at a time.
 IDS_PER_READ = 1_000_000
 
@@ -36,7 +38,7 @@ def write(
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(definition(path))
     narrow = docs.select("doc_id", "text")
-    ordered = narrow.repartitionByRange(partitions(narrow), "doc_id").sortWithinPartitions(
+    ordered = narrow.repartitionByRange(partitions(narrow, PART_BYTES), "doc_id").sortWithinPartitions(
         "doc_id", "text"
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -29,11 +30,45 @@ class LibraryEncoder:
         self.library.no_padding()
         self.library.encode_special_tokens = True
         drops_white_space = '"behavior":"Removed"' in definition.replace(" ", "").replace("\n", "")
+        self.spaced = not drops_white_space
         self.pieces: Callable[[str], list[str]] = words if drops_white_space else chunks
+        # Byte-level vocabularies are written with a printable character for each byte:
+        # its own if it has one, else the next from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in shown]
+        self._spelling = {b: 256 + k for k, b in enumerate(others)}
         self.known = IdLists()
 
     def _encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        """Ids of distinct pieces.
+
+        A piece that is one pre-token for certain goes to the library's model at once:
+        letters only, after one space where the vocabulary has them, with nothing for
+        the normaliser to change. All others take the library's whole way.
+        """
+        out: list[list[int] | None] = [None] * len(pieces)
+        tokenize, spell, other = self.library.model.tokenize, self._spelling, []
+        space = chr(spell[ord(" ")])
+        for k, piece in enumerate(pieces):
+            after_space = self.spaced and piece[0] == " "
+            letters = piece[1:] if after_space else piece
+            if not letters.isalpha():
+                other.append(k)
+                continue
+            if not letters.isascii():
+                if not self.spaced and not (
+                    letters == letters.lower() and is_normalized("NFC", letters)
+                ):
+                    other.append(k)
+                    continue
+                letters = letters.encode().decode("latin-1").translate(spell)
+            out[k] = [t.id for t in tokenize(space + letters if after_space else letters)]
+        rest = self.library.encode_batch_fast(
+            [pieces[k] for k in other], add_special_tokens=False
+        )
+        for k, encoding in zip(other, rest, strict=True):
+            out[k] = encoding.ids
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         for _, ids in id_lists_of(texts, self.pieces, self._encode, self.known):
