@@ -69,7 +69,7 @@ def slices(sizes: Iterable[int], most: int = SLICE_CHARS) -> Iterator[tuple[int,
 class IdLists:
     """Lists of ids by key, stored one after the other; forgets all when too large."""
 
-    def __init__(self, most: int = 32 * MB) -> None:
+    def __init__(self, most: int = 24 * MB) -> None:
         self.most = most
         self.clear()
 
