@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +33,7 @@ GROUP = 4096
 LOOSE = 1 / 64
 ROUNDS = 40
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, key long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long, key long"
 PLACED = PIECES + ", bin long, offset long, loose boolean"
 
 
@@ -167,13 +166,15 @@ def cut(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
 def pack(pieces: DataFrame, size: int, group: int = GROUP) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; a piece has 1 to ``size`` tokens."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "piece", "start"], kind="stable")
-        of, offset, loose = pack_group(frame["length"].tolist(), size)
-        return frame.assign(bin=of, offset=offset, loose=loose)[
-            [c.split()[0] for c in PLACED.split(", ")]
-        ]
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "row")])
+        of, offset, loose = pack_group(table.column("length").to_pylist(), size)
+        for name, values in (("bin", of), ("offset", offset), ("loose", loose)):
+            table = table.append_column(name, pa.array(values))
+        return table.select([c.split()[0] for c in PLACED.split(", ")])
 
+    # Rows that are equal have numbers of their own, so they are dealt apart as well.
+    pieces = materialised(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = F.col("length") >= size
     wanted = ["doc_id", "piece", "start", "length", "ids_crc32"]
     done = [
@@ -189,20 +190,23 @@ def pack(pieces: DataFrame, size: int, group: int = GROUP) -> DataFrame:
     while count:
         groups = -(-count // group)
         # Dealt at random but repeatably: a lost task deals the same rows the same way.
-        key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(base)), F.lit(groups))
-        dealt = rest.select(*wanted, key.alias("key"))
-        placed = materialised(dealt.groupBy("key").applyInPandas(run, PLACED), "packed")
-        again = placed.where("loose").count() if groups > 1 else 0
+        key = F.pmod(F.xxhash64("row", F.lit(base)), F.lit(groups))
+        dealt = rest.select(*wanted, "row", key.alias("key"))
+        placed = materialised(dealt.groupBy("key").applyInArrow(run, PLACED), "packed")
+        seen = placed.agg(F.max("bin").alias("last"), F.count_if(F.col("loose")).alias("loose")).first()
+        again = seen.loose if groups > 1 else 0
         if again >= count:
             again = 0
         settled = placed.where("not loose") if again else placed
-        sequence = F.lit(base) + F.col("key") * group + F.col("bin")
+        # As many numbers for each group as the largest has sequences.
+        stride = seen.last + 1
+        sequence = F.lit(base) + F.col("key") * stride + F.col("bin")
         done.append(settled.select(*wanted, sequence.alias("sequence_id"), "offset"))
-        base += groups * group
+        base += groups * stride
         rest, count = placed.where("loose"), again
     return reduce(DataFrame.unionByName, done)
 
 
 def pack_documents(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
     """Place every document of ``docs`` in sequences of ``size`` tokens at most."""
-    return pack(materialised(cut(docs, path, size, end_id), "pieces"), size)
+    return pack(cut(docs, path, size, end_id), size)

@@ -209,6 +209,34 @@ def test_packing_of_odd_rows_in_many_groups(spark, docs, odd):
     assert packing.pack_documents(docs(*odd).limit(0), path, 64, 0).collect() == []
 
 
+@pytest.mark.parametrize("doc_id", ["id", "CAST(NULL AS LONG)"])
+def test_pieces_that_fit_with_no_other_have_sequences_of_their_own(spark, doc_id):
+    # Dealt at random, some groups have more than three pieces, and so more sequences.
+    same = "0 AS piece, 0L AS start, 40L AS length, 7L AS ids_crc32"
+    pieces = spark.range(300).selectExpr(f"{doc_id} AS doc_id", *same.split(", "))
+    rows = packing.pack(pieces, 64, group=3).collect()
+    want = [(r.doc_id, 0, 0, 40, 7) for r in pieces.collect()]
+    assert check_packing(rows, want, 64) == 300
+
+
+def test_equal_pieces_are_dealt_apart_and_ids_stay_exact(spark, monkeypatch):
+    written = []
+
+    def kept(frame, purpose):
+        written.append((purpose, materialised(frame, purpose)))
+        return written[-1][1]
+
+    materialised = packing.materialised
+    monkeypatch.setattr(packing, "materialised", kept)
+    ids = spark.sql("SELECT CAST(NULL AS LONG) AS doc_id FROM range(1000) UNION ALL SELECT 9007199254740993L")
+    same = "0 AS piece, 0L AS start, 40L AS length, 7L AS ids_crc32"
+    rows = packing.pack(ids.selectExpr("doc_id", *same.split(", ")), 64, group=50).collect()
+    assert Counter(r.doc_id for r in rows) == {None: 1000, 2**53 + 1: 1}
+    first = next(frame for purpose, frame in written if purpose == "packed")
+    sizes = [r["count"] for r in first.groupBy("key").count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 100
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 100), max_size=60))
 def test_local_search_places_each_piece_once(lengths):
