@@ -42,7 +42,8 @@ MOST_EVIDENCE = 12.0
 MOST_KNOWN = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+")
-_TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»‘’‹›]")
+# Between two letters, U+2018 and U+2019 are apostrophes.
+_TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»‹›]|(?<![^\W\d_])[‘’]|[‘’](?![^\W\d_])")
 _MARKS = frozenset("\"“”„«»‘’‹›")
 # Words that report or discuss what somebody said.
 _REPORTING = frozenset(

@@ -132,6 +132,15 @@ def test_context_tells_quotation_from_abuse():
     ]
 
 
+def test_apostrophes_are_no_quotation_marks():
+    counter = toxicity.HitCounter(TERMS, frozenset())
+    texts = [
+        "you don’t know, moron, it’s over", "l’moron n’est pas", "it‘s a moron don‘t",
+        "he said ‘moron’ once", "‘the moron’",
+    ]
+    assert list(counter.hits(texts)) == [(1, 0, 0), (1, 0, 0), (1, 0, 0), (0, 1, 0), (0, 1, 0)]
+
+
 def labelled(spark, count=900):
     """Documents of random words; toxic ones hold one of three insults in random places."""
     rng = random.Random(4)
