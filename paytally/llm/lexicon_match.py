@@ -29,22 +29,33 @@ class Match:
     errors: int
 
 
-def allowed_errors(term: Term) -> int:
-    """One edit from six letters on, two from nine on; stems have to be spelled right."""
+def allowed_errors(term: Term, wide: bool = False) -> int:
+    """One edit from six letters on, two from nine on; stems have to be spelled right.
+
+    If ``wide``, one edit from four letters on, and for stems as for whole terms.
+    """
+    if wide:
+        return (len(term.text) >= 4) + (len(term.text) >= 9)
     return 0 if term.is_stem else (len(term.text) >= 6) + (len(term.text) >= 9)
 
 
 class Lexicon:
-    """Terms in a trie; ``match`` runs a word through the automaton."""
+    """Terms in a trie; ``match`` runs a word through the automaton.
+
+    If ``wide``, more is allowed (see ``allowed_errors``), and a swap of two adjacent
+    letters is one edit. A state then also holds swaps of which the first letter is
+    read: pairs (node after both, letter to come).
+    """
 
-    def __init__(self, terms: list[Term]) -> None:
-        self.terms = terms
+    def __init__(self, terms: list[Term], wide: bool = False) -> None:
+        self.terms, self.wide = terms, wide
+        self.allowed = [allowed_errors(t, wide) for t in terms]
         # Nodes of the trie: children, term that ends there, most errors of any below.
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[int | None] = [None]
         self.most: list[int] = [0]
         for index, term in enumerate(terms):
-            node, most = 0, allowed_errors(term)
+            node, most = 0, self.allowed[index]
             self.most[0] = max(self.most[0], most)
             for letter in term.text:
                 if letter not in self.children[node]:
@@ -58,16 +69,16 @@ class Lexicon:
         self._forget()
 
     def _forget(self) -> None:
-        self.states: list[dict[int, int]] = []
+        self.states: list[dict] = []
         self.numbers: dict[frozenset, int] = {}
         self.results: list[Match | None] = []
         self.settled: list[bool] = []
         self.moves: list[dict[str, int]] = []
         self.first = self._number(self._closed({0: 0}))
 
-    def _closed(self, state: dict[int, int]) -> dict[int, int]:
+    def _closed(self, state: dict) -> dict:
         """With letters of terms left out: a node leads to its children for one error."""
-        todo = list(state)
+        todo = [node for node in state if not isinstance(node, tuple)]
         while todo:
             node = todo.pop()
             errors = state[node] + 1
@@ -77,36 +88,50 @@ class Lexicon:
                     todo.append(child)
         return state
 
-    def _number(self, state: dict[int, int]) -> int:
+    def _number(self, state: dict) -> int:
         key = frozenset(state.items())
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
             self.states.append(state)
             self.moves.append({})
-            stem, whole = None, None
+            best, open_ways = None, False
             for node, errors in state.items():
-                term = self.ends[node]
-                if term is None or errors > allowed_errors(self.terms[term]):
+                term = None if isinstance(node, tuple) else self.ends[node]
+                if term is None or errors > self.allowed[term]:
+                    open_ways = True
                     continue
-                if self.terms[term].is_stem:
-                    stem = Match(term, 0)
-                elif whole is None or (errors, term) < (whole.errors, whole.term):
-                    whole = Match(term, errors)
-            self.results.append(stem or whole)
-            self.settled.append(stem is not None)
+                stem = self.terms[term].is_stem
+                open_ways = open_ways or not stem or bool(self.children[node])
+                # A stem that is spelled right goes before all.
+                found = (errors, not stem, term)
+                best = found if best is None else min(best, found)
+            self.results.append(best and Match(best[2], best[0]))
+            spelled_right = best is not None and best[:2] == (0, False)
+            self.settled.append(spelled_right or (best is not None and not open_ways))
         return self.numbers[key]
 
     def _step(self, number: int, letter: str) -> int:
-        after: dict[int, int] = {}
+        after: dict = {}
 
         def reach(node: int, errors: int) -> None:
             if errors <= self.most[node] and errors < after.get(node, errors + 1):
                 after[node] = errors
 
         for node, errors in self.states[number].items():
-            reach(node, errors + 1)  # a letter too many
+            if isinstance(node, tuple):
+                if node[1] == letter:
+                    reach(node[0], errors)
+                continue
+            term = self.ends[node]
+            # After a stem any letters may follow.
+            over = term is not None and self.terms[term].is_stem and errors <= self.allowed[term]
+            reach(node, errors + (not over))  # a letter too many
             for own, child in self.children[node].items():
                 reach(child, errors + (own != letter))
+                second = self.children[child].get(letter) if self.wide and own != letter else None
+                if second is not None and errors < self.most[second]:
+                    swap = (second, own)
+                    after[swap] = min(errors + 1, after.get(swap, errors + 1))
         moved = self._number(self._closed(after))
         self.moves[number][letter] = moved
         return moved

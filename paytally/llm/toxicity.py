@@ -44,6 +44,10 @@ MOST_KNOWN = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 # Between two letters, U+2018 and U+2019 are apostrophes.
 _TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»‹›]|(?<![^\W\d_])[‘’]|[‘’](?![^\W\d_])")
+# Parts of words with one or two digits or signs between them.
+_JOINED = re.compile(
+    r"(?<![^\W\d_])[^\W\d_]++(?:(?:[\d_]|[^\w\s\"“”„«»‘’‹›']){1,2}+[^\W\d_]++)++"
+)
 _MARKS = frozenset("\"“”„«»‘’‹›")
 # Words that report or discuss what somebody said.
 _REPORTING = frozenset(
@@ -137,15 +141,33 @@ def _terms(pure: dict[str, tuple[int, int]]) -> list[Term]:
     return ordered[:MOST_TERMS]
 
 
+def joined_words(text: str) -> list[list[tuple[str, list[str]]]]:
+    """Words with digits or signs inside, each with its parts: for each chain of joined
+    parts, two and three of them that follow each other, as written."""
+    chains = []
+    for chain in _JOINED.finditer(text):
+        parts = list(_WORD.finditer(chain.group()))
+        windows = []
+        for k in range(len(parts) - 1):
+            for some in (parts[k : k + 2], parts[k : k + 3])[: len(parts) - k - 1]:
+                word = chain.group()[some[0].start() : some[-1].end()]
+                windows.append((word, [p.group() for p in some]))
+        chains.append(windows)
+    return chains
+
+
 class HitCounter:
     """Evidence of abusive hits, and numbers of quoted and misspelled ones, of texts.
 
-    Evidence is rounded to quarters, so that few different cases are told apart.
+    Evidence is rounded to quarters, so that few different cases are told apart. A word
+    with digits or signs inside is a misspelling if it is near a term as written, and
+    none of its parts is a word of its own that says something.
     """
 
-    def __init__(self, terms: list[Term], harmless: frozenset[str]) -> None:
-        self.lexicon = Lexicon(terms)
+    def __init__(self, terms: list[Term], harmless: frozenset[str], wide: bool = False) -> None:
+        self.lexicon = Lexicon(terms, wide)
         self.harmless = harmless
+        self.wide = wide
         self.known: dict[str, Match | None] = {}
 
     def _learn(self, words: set[str]) -> None:
@@ -163,13 +185,30 @@ class HitCounter:
         for first, last in slices(map(len, texts)):
             lower = [t.lower() for t in texts[first:last]]
             own = [_WORD.findall(t) for t in lower]
-            self._learn({w for words in own for w in words})
+            joined = [joined_words(t) if self.wide else [] for t in lower]
+            self._learn(
+                {w for words in own for w in words}
+                | {w for chains in joined for chain in chains for w, _ in chain}
+            )
             known = self.known
-            for text, words in zip(lower, own, strict=True):
+            for text, words, chains in zip(lower, own, joined, strict=True):
+                abuse, quoted, misspelled = 0.0, 0, 0
                 if any(known[w] for w in words):
-                    yield self._in_context(text)
-                else:
-                    yield 0.0, 0, 0
+                    abuse, quoted, misspelled = self._in_context(text)
+                if chains:
+                    misspelled = min(9, misspelled + self._across(chains))
+                yield abuse, quoted, misspelled
+
+    def _across(self, chains: list[list[tuple[str, list[str]]]]) -> int:
+        """Number of hits that only words with digits or signs inside give."""
+        known, count = self.known, 0
+        for windows in chains:
+            # Hits of one chain overlap more often than not, and count once.
+            count += any(
+                known[word] and not any(known[p] or p in self.harmless for p in parts)
+                for word, parts in windows
+            )
+        return count
 
     def _in_context(self, text: str) -> tuple[float, int, int]:
         tokens = _TOKEN.findall(text)
@@ -199,16 +238,20 @@ def misspellings(sample: DataFrame, terms: list[Term]) -> frozenset[str]:
     shared = sample.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(shared.value)
+        lexicon, seen = Lexicon(shared.value, wide=True), set()
         for batch in batches:
-            words = batch.column(0).to_pylist()
+            words = set()
+            for text in batch.column(0).to_pylist():
+                text = text.lower()
+                words.update(_WORD.findall(text))
+                words.update(w for chain in joined_words(text) for w, _ in chain)
+            words -= seen
+            seen |= words
             near = [w for w in words if (m := lexicon.match(w)) and m.errors]
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["word"])
 
-    clean = sample.where("toxic = 0").select(
-        F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
-    )
-    rows = clean.where(F.char_length("word") >= SHORTEST).distinct().mapInArrow(run, "word string")
+    clean = sample.where("toxic = 0").select("text")
+    rows = clean.mapInArrow(run, "word string").distinct()
     return frozenset(r.word for r in rows.collect())
 
 
@@ -228,17 +271,23 @@ def fit(hits: np.ndarray, toxic: np.ndarray, weight: np.ndarray, ridge: float =
     # Hits never speak against toxicity; where there are none to learn from, a
     # misspelling counts somewhat and a quotation little.
     prior = np.array([-3.0, 0.8, 1.0, 0.2, 2.0, 0.5])
-    w = prior.copy()
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (toxic - p)) - ridge * (w - prior)
-        bend = (x.T * (weight * p * (1 - p))) @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(bend, slope)
-        # No step is longer than one, so that saturated cases cannot throw it off.
-        w = w + step / max(1.0, np.abs(step).max())
-        if np.abs(step).max() < 1e-9:
+    w, free = prior.copy(), np.ones(len(prior), bool)
+    while True:
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            slope = x.T @ (weight * (toxic - p)) - ridge * (w - prior)
+            bend = (x.T * (weight * p * (1 - p))) @ x + ridge * np.eye(len(w))
+            step = np.zeros_like(w)
+            step[free] = np.linalg.solve(bend[np.ix_(free, free)], slope[free])
+            # No step is longer than one, so that saturated cases cannot throw it off.
+            w = w + step / max(1.0, np.abs(step).max())
+            if np.abs(step).max() < 1e-9:
+                break
+        # What would speak against toxicity is left at nothing, and the others fitted again.
+        below = np.concatenate([[False], w[1:] < 0])
+        if not below.any():
             break
-    w[1:] = np.maximum(w[1:], 0.0)
+        w[below], free[below] = 0.0, False
     return w
 
 
@@ -259,7 +308,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[Term], frozenset[str
     shared = docs.sparkSession.sparkContext.broadcast((terms, harmless))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = HitCounter(*shared.value)
+        counter = HitCounter(*shared.value, wide=True)
         for batch in batches:
             found = list(counter.hits([t or "" for t in batch.column(1).to_pylist()]))
             columns = list(zip(*found, strict=True)) or [[], [], []]
@@ -296,7 +345,7 @@ def scores(docs: DataFrame, model: tuple[list[Term], frozenset[str], np.ndarray]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, harmless, weights = shared.value
-        counter = HitCounter(terms, harmless)
+        counter = HitCounter(terms, harmless, wide=True)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             hits = np.array(list(counter.hits(texts)), float).reshape(-1, 3)

@@ -132,6 +132,58 @@ def test_context_tells_quotation_from_abuse():
     ]
 
 
+def edits_with_swaps(a, b):
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(rows[-1][j] + 1, new[-1] + 1, rows[-1][j - 1] + (x != y)))
+            if i > 1 and j > 1 and a[i - 2] == y and b[j - 2] == x:
+                new[j] = min(new[j], rows[-2][j - 2] + 1)
+        rows.append(new)
+    return rows[-1][-1]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.sampled_from(TERMS), st.lists(st.tuples(st.integers(0, 3), st.integers(0, 10), st.sampled_from("aiou1")), max_size=3), st.sampled_from(["", "s", "ation"]))
+def test_wide_automaton_equals_edit_distance_with_swaps(term, changes, ending):
+    word = list(term.text)
+    for kind, at, letter in changes:
+        at %= len(word) + (kind == 0)
+        if kind == 3:
+            word[at : at + 2] = word[at : at + 2][::-1]
+        else:
+            word[at : at + (kind > 0)] = [] if kind == 2 else [letter]
+    word = "".join(word) + ending
+    near = []
+    for i, t in enumerate(TERMS):
+        heads = [word[:n] for n in range(len(word) + 1)] if t.is_stem else [word]
+        errors = min(edits_with_swaps(head, t.text) for head in heads)
+        if errors <= allowed_errors(t, wide=True):
+            near.append((errors, i))
+    found = WIDE.match(word)
+    assert (found is None) == (not near)
+    assert found is None or found.errors == min(near)[0]
+
+
+WIDE = Lexicon(TERMS, wide=True)
+
+
+def test_misspelled_short_terms_stems_swaps_digits_and_signs():
+    counter = toxicity.HitCounter(TERMS, frozenset(["m-aron"]), wide=True)
+    missed = ["moran", "morn", "stpuid", "st*pid", "m0ron", "so:mor#n,really", "vaquation", "d1sgus#ing"]
+    assert list(counter.hits(missed)) == [(0, 0, 1)] * len(missed)
+    same = ["moron-like", "a moron,b", "m-aron", "and/or", "well-known", "", "vequ2x"]
+    assert list(counter.hits(same)) == [(1, 0, 0)] * 2 + [(0, 0, 0)] * 4 + [(2.5, 0, 0)]
+
+
+def test_scores_catch_misspelled_insults(spark):
+    docs, labels = labelled(spark)
+    frame = spark.createDataFrame([(1, "a zropox b"), (2, "a gr0bbler b"), (3, "a b")], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in toxicity.scores(frame, toxicity.train(docs, labels)).collect()}
+    assert found[1] > found[3] and found[2] > found[3]
+
+
 def test_apostrophes_are_no_quotation_marks():
     counter = toxicity.HitCounter(TERMS, frozenset())
     texts = [
