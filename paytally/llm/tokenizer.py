@@ -16,19 +16,23 @@ from paytally.llm.vocab import chunks, words
 class LibraryEncoder:
     """Ids of whole texts, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives.
 
-    The strings of special tokens are ordinary text. Texts are cut where no pre-token
+    The strings of special tokens are ordinary text, unless ``special``: then a text that
+    may hold an added token goes to the library whole. Other texts are cut where no pre-token
     crosses (``chunks`` for byte-level vocabularies, ``words`` for such as drop white
     space), and the library encodes each distinct piece.
     """
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str, special: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(definition)
         self.library.no_truncation()
         self.library.no_padding()
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
+        added = self.library.get_added_tokens_decoder().values() if special else ()
+        # The normaliser may change case before tokens are looked for.
+        self.added = [t.content.lower() for t in added]
         drops_white_space = '"behavior":"Removed"' in definition.replace(" ", "").replace("\n", "")
         self.spaced = not drops_white_space
         self.pieces: Callable[[str], list[str]] = words if drops_white_space else chunks
@@ -70,15 +74,24 @@ class LibraryEncoder:
             out[k] = encoding.ids
         return out
 
+    def _holds_added(self, text: str) -> bool:
+        lower = text.lower()
+        return any(token in lower for token in self.added)
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for _, ids in id_lists_of(texts, self.pieces, self._encode, self.known):
+        whole = {k for k, text in enumerate(texts) if self._holds_added(text)} if self.added else ()
+        by_pieces = ["" if k in whole else text for k, text in enumerate(texts)] if whole else texts
+        for k, ids in id_lists_of(by_pieces, self.pieces, self._encode, self.known):
+            if k in whole:
+                ids = self.library.encode(texts[k], add_special_tokens=False).ids
+                ids = np.array(ids, np.uint32)
             yield ids
 
 
 @lru_cache(maxsize=2)
 def library_encoder(definition: str) -> LibraryEncoder:
     """One encoder per worker, so that what it has met serves its later tasks."""
-    return LibraryEncoder(definition)
+    return LibraryEncoder(definition, special=True)
 
 
 def definition(path: str) -> str:

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from paytally.llm import bpe, frame_of_reference, packing, queries, token_files
 from paytally.llm.perfect_hash import PerfectHash
-from paytally.llm.tokenizer import LibraryEncoder, definition
+from paytally.llm.tokenizer import LibraryEncoder, definition, library_encoder
 from paytally.llm.vocab import read_ranks
 
 SF = "/root/testdata/sf0.001"
@@ -110,6 +110,16 @@ def test_pieces_on_mixed_text(name, text):
     assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_operators_take_the_librarys_own_way_with_special_tokens(name, texts):
+    own, library = library_encoder(definition(public.path(name))), Tokenizer.from_file(public.path(name))
+    tokens = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert tokens
+    some = [f"end {t} next{t}{t.upper()} a" for t in tokens] + [f"{tokens[0]}\n b", "", texts[0]]
+    for text, ids in zip(some, own.encode(some), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 CACHE = {}
 
 
