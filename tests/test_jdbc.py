@@ -4,7 +4,7 @@ import datetime as dt
 from unittest import mock
 
 import pytest
-from conftest import line, rows
+from records import line, rows
 
 from paytally import __main__ as command_line
 from paytally.plans import load_payments

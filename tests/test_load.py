@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import line, party, rows
+from records import line, party, rows
 from pyspark.sql import functions as F
 
 from paytally.operators import (

@@ -4,7 +4,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import line, rows
+from records import line, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points

@@ -5,7 +5,7 @@ from collections import Counter
 from functools import reduce
 
 import pytest
-from conftest import line, party, rows
+from records import line, party, rows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

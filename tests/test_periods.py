@@ -1,5 +1,5 @@
 import pytest
-from conftest import line
+from records import line
 
 from paytally.sources import landing_path, period_path, scan_payments
 

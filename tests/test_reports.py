@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import line, party, rows
+from records import line, party, rows
 
 from paytally.plans import (
     load_payments,

@@ -1,7 +1,7 @@
 from unittest import mock
 
 import pytest
-from conftest import line
+from records import line
 
 from paytally import __main__ as command_line
 from paytally.session import scratch_path, settings_for, shared_dir

@@ -1,4 +1,4 @@
-from conftest import line, rows
+from records import line, rows
 
 from paytally.plans import load_payments
 from paytally.schema import TABLES
