@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytally.llm import bpe, token_files, warc
+from paytally.llm import bpe, conversations, token_files, warc
+from paytally.llm.best_positions import search
 from paytally.llm.common import table
 from paytally.llm.html_text import main_text
 from paytally.llm.language import languages_of
@@ -17,6 +18,7 @@ from paytally.llm.permutation_index import nearest
 from paytally.llm.quality import RULES, STOP_WORDS, quality
 from paytally.llm.simhash import near_duplicates
 from paytally.llm.toxicity import toxicity
+from paytally.llm.wu_manber import contamination
 from paytally.session import scratch_path
 
 
@@ -78,6 +80,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2, seed=42)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_best_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination(docs, items, length=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_permutation_index": op1_permutation_index,
@@ -90,6 +105,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_language": op9_language,
         "op10_simhash": op10_simhash,
+        "op11_conversations": op11_conversations,
+        "op12_best_positions": op12_best_positions,
+        "op13_wu_manber": op13_wu_manber,
     }
 
 
@@ -160,5 +178,79 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f"""
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+RANKED_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+t AS (SELECT count(*) AS nd, sum(len(words))::HUGEINT AS nw FROM d WHERE len(words) > 0),
+q AS (
+  SELECT DISTINCT item_id, unnest(
+    regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+tf AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL
+),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, t GROUP BY term, nd
+),
+m AS (SELECT row, doc_id, CAST(50 + (50 * len(words) * nd) // nw AS BIGINT) AS m FROM d, t),
+scored AS (
+  SELECT item_id, doc_id, row,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (row) GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE score > 0)
+WHERE rank <= 50"""
+
+CONTAMINATION_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+q AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+),
+lengths AS (SELECT DISTINCT least(10, len(words)) AS k FROM q WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(words[i:i + k - 1], ' ') AS passage
+  FROM (SELECT *, least(10, len(words)) AS k FROM q WHERE len(words) > 0),
+       unnest(range(1, len(words) - k + 2)) AS t(i)
+),
+places AS (
+  SELECT row, i, k, array_to_string(words[i:i + k - 1], ' ') AS passage
+  FROM d, lengths, unnest(range(1, len(words) - k + 2)) AS t(i)
+),
+hits AS (SELECT row, i, k, item FROM places JOIN windows USING (k, passage)),
+hit AS (
+  SELECT row, count(DISTINCT j) AS n FROM hits, unnest(range(i, i + k)) AS t(j) GROUP BY row
+),
+found AS (
+  SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(found.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (row) LEFT JOIN found USING (row)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": _quality_sql(), "op7_warc": WARC_SQL}
+    return {
+        "op6_quality_rules": _quality_sql(),
+        "op7_warc": WARC_SQL,
+        "op12_best_positions": RANKED_SQL,
+        "op13_wu_manber": CONTAMINATION_SQL,
+    }
