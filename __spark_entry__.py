@@ -39,7 +39,7 @@ from paytally.plans import (
     top_senders,
     top_spenders,
 )
-from paytally.schema import CENTS, TABLES
+from paytally.schema import CENTS
 from paytally.session import drop_path, scratch_path
 from paytally.sinks import Warehouse, insert_ignore, merge_staged, stage
 from paytally.sources import landing_path, parse_payments, period_path, scan_payments
@@ -85,21 +85,18 @@ def _warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, scratch_path(spark, "warehouse"), f"paytally_{uuid.uuid4().hex}")
 
 
-def _stored(warehouse: Warehouse, table: str) -> DataFrame:
-    """A stored table, read by path so that the scratch database can be dropped."""
-    spec = TABLES[table]
-    reader = warehouse.spark.read.schema(spec.ddl)
-    return reader.parquet(warehouse.path(table)).select(*spec.column_names)
-
-
 class _StoredFiles:
-    """The tables of a warehouse by path, for ``report``; one user has been removed."""
+    """The tables of a warehouse by path, for ``report``; one user has been removed.
+
+    By path, so that the scratch database can be dropped.
+    """
 
     def __init__(self, warehouse: Warehouse) -> None:
         self.warehouse = warehouse
+        self.read_best = warehouse.read_best
 
     def read_table(self, table: str) -> DataFrame:
-        rows = _stored(self.warehouse, table)
+        rows = self.warehouse.snapshot(table)
         return rows.where(F.col("id") != REMOVED_USER) if table == "users" else rows
 
 
@@ -107,7 +104,7 @@ def _all_metrics(warehouse: Warehouse) -> DataFrame:
     """The four stored metric tables below each other."""
 
     def rows(table: str, user1: str, user2, measure: str) -> DataFrame:
-        return _stored(warehouse, table).select(
+        return warehouse.snapshot(table).select(
             F.lit(table).alias("metric"),
             F.col(user1).alias("user1"),
             user2.cast("bigint").alias("user2"),
@@ -213,7 +210,7 @@ def q_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     insert_ignore(pair_activity(first), warehouse, "pair_activity", unique=True)
     insert_ignore(pair_activity(payments), warehouse, "pair_activity", unique=True)
     _drop_database(warehouse)
-    return _stored(warehouse, "pair_activity")
+    return warehouse.snapshot("pair_activity")
 
 
 def q_staged_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +228,7 @@ def q_staged_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = stage(customers.union(without_id).union(without_name), warehouse, "users")
     merge_staged(warehouse, staging, "users")
     _drop_database(warehouse)
-    return _stored(warehouse, "users")
+    return warehouse.snapshot("users")
 
 
 def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

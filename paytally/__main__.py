@@ -4,6 +4,7 @@
     load-file PATH                         load one file or folder
     ingest LANDING ARCHIVE CHECKPOINT      load what has landed since the last run
     report METRIC DAY N                    print a top-N report
+    clean                                  delete versions of days that were replaced
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from paytally.session import build_session, settings_for
 from paytally.sinks import JdbcTarget, Warehouse
 from paytally.sources import period_path
 from paytally.streaming import ingest_available
+from paytally.streaming.ingest import STEP_BYTES
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -37,6 +39,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         help="read that table over several connections",
     )
     parser.add_argument("--database", default="paytally", help="their catalog database")
+    parser.add_argument("--user-buckets", type=int, help="buckets of a new users table")
     parser.add_argument(
         "--input-bytes", type=int, help="size of the text to load, to size the partitions"
     )
@@ -58,6 +61,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("landing")
     ingest.add_argument("archive")
     ingest.add_argument("checkpoint")
+    ingest.add_argument("--step-bytes", type=int, default=STEP_BYTES, help="text to load at once")
+
+    jobs.add_parser("clean", help="when no load is under way: delete what is not published")
 
     top = jobs.add_parser("report", help="print a top-N report of a day")
     top.add_argument("metric", choices=list(REPORTS))
@@ -68,7 +74,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def target_of(spark: SparkSession, args: argparse.Namespace) -> Warehouse | JdbcTarget:
     if args.warehouse:
-        return Warehouse(spark, args.warehouse, args.database)
+        return Warehouse(spark, args.warehouse, args.database, args.user_buckets)
     options = dict(option.split("=", 1) for option in args.jdbc_option)
     parts = (bound.split(":") for bound in args.jdbc_bounds)
     bounds = {table: (column, lower, upper) for table, column, lower, upper in parts}
@@ -86,9 +92,13 @@ def main(argv: list[str] | None = None) -> None:
         print(run_period(spark, args.path, warehouse, args.tables))
     elif args.job == "ingest":
         for counts in ingest_available(
-            spark, args.landing, args.archive, args.checkpoint, warehouse
+            spark, args.landing, args.archive, args.checkpoint, warehouse, args.step_bytes
         ):
             print(counts)
+    elif args.job == "clean":
+        if not isinstance(warehouse, Warehouse):
+            raise SystemExit("only a warehouse of files has versions to delete")
+        print(warehouse.drop_unused())
     else:
         report(warehouse, args.metric, args.day, args.n).show(args.n, truncate=False)
 

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paytally.functions import valid
 from paytally.operators import (
@@ -22,7 +23,7 @@ from paytally.schema import PAYMENTS, TABLES
 from paytally.session import drop_path, listed_bytes, scratch_path, sized_for
 from paytally.sinks import JdbcTarget, Warehouse, insert_ignore
 from paytally.sinks.days import BatchDays
-from paytally.sources import scan_payments
+from paytally.sources import parse_payments, scan_lines
 
 # Sets of ids are broadcast up to this many (8 bytes each), after a count.
 MAX_BROADCAST_IDS = 1_000_000
@@ -32,24 +33,36 @@ class MissingAmounts(ValueError):
     """No payment of the source carries ``amount_cents``."""
 
 
+def staged_columns(wanted: set[str]) -> list[str]:
+    """Columns of the payments that the wanted tables are made from."""
+    needed = {"sender_id", "receiver_id"}
+    if "users" in wanted:
+        needed |= {"payment_id", "created_time", "sender", "receiver"}
+    if wanted - {"users"}:
+        needed |= {"transaction_date", "amount_cents"}
+    return [name for name in PAYMENTS.names if name in needed]
+
+
 def stage_payments(
-    payments: DataFrame, spark: SparkSession, path: str, need_amounts: bool
+    payments: DataFrame, spark: SparkSession, path: str, wanted: set[str]
 ) -> DataFrame:
     """Write the parsed payments below the shared folder and read them back.
 
-    The JSON is decoded once, in a job without a shuffle. The metrics then read
-    only their own columns, and a lost executor costs no second decode.
+    The JSON is decoded once, in a job without a shuffle, and only what the wanted
+    tables need is kept. The metrics then read only their own columns, and a lost
+    executor costs no second decode.
     """
+    columns = staged_columns(wanted)
     seen = Observation()
     complete = F.col("sender_id").isNotNull() & F.col("receiver_id").isNotNull()
     payments.observe(
         seen,
         F.count_if(complete).alias("complete"),
         F.count_if(complete & F.col("amount_cents").isNotNull()).alias("with_amount"),
-    ).write.option("compression", "zstd").parquet(path)
-    if need_amounts and seen.get["complete"] and not seen.get["with_amount"]:
+    ).select(*columns).write.option("compression", "zstd").parquet(path)
+    if "net_spending" in wanted and seen.get["complete"] and not seen.get["with_amount"]:
         raise MissingAmounts("the source has no amount_cents; net spending needs it")
-    return spark.read.schema(PAYMENTS).parquet(path)
+    return spark.read.schema(T.StructType([PAYMENTS[name] for name in columns])).parquet(path)
 
 
 def _few(ids: DataFrame) -> bool:
@@ -122,11 +135,12 @@ def load_payments(
     written = {}
     totals = unknown = None
     try:
-        staged = stage_payments(payments, spark, path, "net_spending" in wanted)
+        staged = stage_payments(payments, spark, path, wanted)
         if "users" in wanted:
             written["users"] = _load_users(staged, warehouse)
         if wanted - {"users"}:
-            users = warehouse.read_table("users")
+            # One row per user and day: no user is hot, so buckets may hold them.
+            users = warehouse.known_users(one_row_a_day=True)
             # Reduced to one row per id first: Parquet does not keep ids unique, and a
             # user who is stored twice must not double the metrics.
             ids = users.select("id").distinct().withColumn("listed", F.lit(True))
@@ -150,7 +164,9 @@ def load_payments(
                 "sender_activity": lambda: known.where("send_freq > 0"),
                 "receiver_activity": lambda: known.where("recv_freq > 0"),
                 "net_spending": lambda: known.where("amount_cents IS NOT NULL"),
-                "pair_activity": lambda: _known_pairs(pair_activity(staged), unknown, users),
+                "pair_activity": lambda: _known_pairs(
+                    pair_activity(staged), unknown, warehouse.known_users(one_row_a_day=False)
+                ),
             }
             jobs = {t: append(t, rows) for t, rows in rows_of.items() if t in wanted}
             written.update(_side_by_side(spark, jobs))
@@ -172,5 +188,6 @@ def run_period(
 
     Shuffles get as many partitions as the listed size of the files asks for.
     """
-    with sized_for(warehouse.spark, listed_bytes(spark, source)):
-        return load_payments(scan_payments(spark, source), warehouse, tables)
+    lines = scan_lines(spark, source)
+    with sized_for(warehouse.spark, listed_bytes(lines)):
+        return load_payments(parse_payments(lines), warehouse, tables)

@@ -63,6 +63,11 @@ class TableSpec:
     def is_dated(self) -> bool:
         return "transaction_date" in self.column_names
 
+    @property
+    def measure(self) -> str:
+        """What a metric measures; of a table of keys only, its last key."""
+        return self.column_names[-1]
+
     @property
     def ddl(self) -> str:
         return ", ".join(f"`{name}` {dtype}" for name, dtype in self.columns)

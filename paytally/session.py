@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs count on. Everything else is left to the deployer.
 SETTINGS = {
@@ -44,14 +44,9 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     }
 
 
-def listed_bytes(spark: SparkSession, source: str | list[str]) -> int:
-    """Size of the files of a path, glob or list of such; from their listing only."""
-    total = 0
-    for path in [source] if isinstance(source, str) else source:
-        fs, target = file_system(spark, path)
-        for found in fs.globStatus(target) or []:
-            total += fs.getContentSummary(found.getPath()).getLength()
-    return total
+def listed_bytes(scan: DataFrame) -> int:
+    """Size of the files of a scan, from the listing that Spark made for it."""
+    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 @contextmanager

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from paytally.operators import new_keys_only
 from paytally.schema import TABLES
 from paytally.sinks.days import BatchDays
 
@@ -52,6 +53,11 @@ class JdbcTarget:
     def read_staged(self, staging: str, table: str) -> DataFrame:
         return self._read(staging, self.bounds.get(table)).select(*TABLES[table].column_names)
 
+    def known_users(self, one_row_a_day: bool) -> DataFrame:
+        """The users, to check ids against."""
+        self.ensure_table("users")
+        return self.read_table("users")
+
     def create_statement(self, table: str) -> str:
         """DDL with the key and what may not be null."""
         spec = TABLES[table]
@@ -82,21 +88,25 @@ class JdbcTarget:
         """Create the table if the database lacks it."""
         self._execute(self.create_statement(table))
 
-    def register_days(self, table: str) -> None:
-        """Nothing to do: a database knows its rows."""
-
     def _write(self, df: DataFrame, table: str, mode: str) -> None:
         options = {"numPartitions": str(self.max_connections), **self.options}
         writer = df.write.format("jdbc").options(**options)
         writer.option("url", self.url).option("dbtable", table).mode(mode).save()
 
-    def append(self, df: DataFrame, table: str, days: BatchDays | None = None) -> int:
+    def append(self, df: DataFrame, table: str) -> int:
         """Append rows and return how many; counted while they are written."""
         written = Observation()
         rows = df.select(*TABLES[table].column_names)
         self._write(rows.observe(written, F.count(F.lit(1)).alias("rows")), table, "append")
         return written.get["rows"]
 
+    def add_new(self, rows: DataFrame, table: str, days: BatchDays | None) -> int:
+        """Append the rows whose key is not stored yet; return how many."""
+        stored = self.read_table(table)
+        if days is not None:
+            stored = stored.where(days.predicate())
+        return self.append(new_keys_only(rows, stored, *TABLES[table].keys), table)
+
     def stage(self, df: DataFrame, table: str) -> str:
         """Overwrite the staging table of ``table`` with ``df``; return its name."""
         staging = f"{table}_temp"

@@ -12,7 +12,7 @@ from paytally.operators import net_spending, signed_legs
 from paytally.plans import load_payments, report, run_period
 from paytally.session import listed_bytes, sized_for
 from paytally.sinks import insert_ignore, merge_staged, stage
-from paytally.sources import parse_payments, scan_payments
+from paytally.sources import parse_payments, scan_lines, scan_payments
 from paytally.sources.sample import write_period_files
 from paytally.streaming import ingest_available
 
@@ -144,8 +144,9 @@ def test_partitions_follow_the_listed_size(spark, warehouse, tmp_path, monkeypat
     for name in ("a.json", "b.json"):
         (tmp_path / name).write_text(line())
     size = len(line())
-    assert listed_bytes(spark, str(tmp_path / "*.json")) == 2 * size
-    assert listed_bytes(spark, [str(tmp_path / "a.json"), str(tmp_path / "none")]) == size
+    assert listed_bytes(scan_lines(spark, str(tmp_path / "*.json"))) == 2 * size
+    assert listed_bytes(scan_lines(spark, [str(tmp_path / "a.json")])) == size
+    assert listed_bytes(scan_lines(spark, str(tmp_path))) == 2 * size
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     with sized_for(spark, 10**12):

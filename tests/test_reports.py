@@ -113,7 +113,8 @@ def test_bad_arguments(warehouse, activity, users):
 
 def test_plan_of_a_stored_report(warehouse, lines):
     load_payments(parse_payments(lines(line(), line(at="2017-01-06T01:00:00Z"))), warehouse)
-    df = report(warehouse, "active_pairs", DAY, 10, users_known=True)
+    # More rows than a day's best are read from the day.
+    df = report(warehouse, "active_pairs", DAY, 5000, users_known=True)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("TakeOrderedAndProject") == 2
     assert plan.count("BroadcastHashJoin") == 2

@@ -49,6 +49,8 @@ def test_command_line(spark, tmp_path, capsys):
     paths = [str(landing), str(tmp_path / "done"), str(tmp_path / "ck")]
     command_line.main([*common, "ingest", *paths])
     assert "'users': 2" in capsys.readouterr().out
+    command_line.main([*common, "clean"])
+    assert capsys.readouterr().out.strip() == "0"
     spark.sql("DROP DATABASE cli_test CASCADE")
     with pytest.raises(SystemExit):
         command_line.main([*common, "report", "lurkers", "2017-01-05", "10"])
