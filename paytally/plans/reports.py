@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paytally.functions import display_name, on_day, to_units
 from paytally.operators import keep_known_users
 from paytally.schema import TABLES
-from paytally.sinks.warehouse import BEST_ROWS
+from paytally.sinks.warehouse import BEST_ROWS, ranking
 
 # The N ranked rows are broadcast to look up their users, up to this many.
 MAX_BROADCAST_ROWS = 100_000
@@ -130,25 +130,37 @@ REPORTS = {
 def _enough_best(
     warehouse, table: str, day: str, n: int, users_known: bool
 ) -> tuple[DataFrame, DataFrame] | None:
-    """The day's best rows and the users in them, if these hold the whole report.
+    """The day's best rows and the users of a report, if these rows hold all of it.
 
-    Best rows are few, so their ids are fetched and looked up by value: the scan of the
-    users is pruned to the buckets and row groups that can hold them. Rows of users who
-    are gone take places among the best; if too few are left, the day has to be read.
+    Best rows are few and fetched. From the first on, twice as many at a time, their
+    users are looked up by value, which prunes the scan of the users to buckets and row
+    groups, until the report is full. Rows of users who are gone take places among the
+    best; if too few others are left, the day has to be read.
     """
     read_best = getattr(warehouse, "read_best", None)
     best = read_best(table, day) if read_best and n <= BEST_ROWS else None
     if best is None:
         return None
-    ids = TABLES[table].user_columns
-    rows = best.select(*ids).collect()
-    mentioned = sorted({row[c] for row in rows for c in ids})
-    users = warehouse.read_table("users").where(F.col("id").isin(mentioned))
-    if not users_known and len(rows) >= BEST_ROWS:
-        there = {row.id for row in users.select("id").collect()}
-        if sum(there.issuperset(row) for row in rows) < n:
-            return None
-    return best, users
+    spec = TABLES[table]
+    ids = spec.user_columns
+    rows = [tuple(row) for row in best.orderBy(*ranking(spec)).select(*ids).collect()]
+    users = warehouse.read_table("users")
+
+    def of(mentioned: list[tuple]) -> DataFrame:
+        return users.where(F.col("id").isin(sorted({i for row in mentioned for i in row})))
+
+    if users_known:
+        return best, of(rows[:n])
+    known: list[tuple] = []
+    begin, size = 0, 2 * n
+    while len(known) < n and begin < len(rows):
+        part = rows[begin : begin + size]
+        there = {row.id for row in of(part).select("id").collect()}
+        known += (row for row in part if there.issuperset(row))
+        begin, size = begin + size, 2 * size
+    if len(known) < n and len(rows) >= BEST_ROWS:
+        return None
+    return best, of(known[:n])
 
 
 def report(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -80,30 +81,35 @@ class DayVersions:
         before = self._marks()
         number = max((v.number for v in before), default=0) + 1
         days = set(days)
-        for day in sorted(days):
-            fs, mark = file_system(
-                self.spark, f"{self.root}/_days/{Version(day, number, load).name}"
-            )
-            fs.create(mark, True).close()
-        for version in before:
-            if version.day in days:
-                drop_path(self.spark, f"{self.root}/_days/{version.name}")
+
+        def mark(day: str) -> None:
+            path = f"{self.root}/_days/{Version(day, number, load).name}"
+            fs, target = file_system(self.spark, path)
+            fs.create(target, True).close()
+
+        def unmark(version: Version) -> None:
+            drop_path(self.spark, f"{self.root}/_days/{version.name}")
+
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            list(pool.map(mark, sorted(days)))
+            list(pool.map(unmark, (v for v in before if v.day in days)))
 
     def discard(self, load: str) -> None:
         drop_path(self.spark, self.folder(load))
 
     def drop_unused(self) -> int:
-        """Delete what is not published; return how many days of loads that were."""
+        """Delete loads, and days in them, that are not published; return how many."""
         current = {(v.load, v.day) for v in self.current().values()}
+        used = {load for load, _ in current}
         dropped = 0
         for name in self._names(f"{self.root}/_loads"):
             load = name.removeprefix("load=")
-            days = self.written(load)
-            unused = [day for day in days if (load, day) not in current]
-            dropped += len(unused)
-            if len(unused) == len(days):
+            if load not in used:
                 self.discard(load)
+                dropped += 1
                 continue
-            for day in unused:
-                drop_path(self.spark, self.day_folder(Version(day, 0, load)))
+            for day in self.written(load):
+                if (load, day) not in current:
+                    drop_path(self.spark, self.day_folder(Version(day, 0, load)))
+                    dropped += 1
         return dropped

@@ -33,7 +33,7 @@ from paytally.schema import TABLES, TableSpec
 from paytally.session import drop_path, file_system
 from paytally.sinks.days import BatchDays
 from paytally.sinks.jdbc import JdbcTarget
-from paytally.sinks.versions import DAY_FOLDER, DayVersions
+from paytally.sinks.versions import DAY_FOLDER, DayVersions, Version
 
 # Rows per day and metric that reports can be answered from without reading the day.
 BEST_ROWS = 1000
@@ -164,18 +164,24 @@ class Warehouse:
     def read_staged(self, staging: str, table: str) -> DataFrame:
         return self.spark.table(self.full_name(staging))
 
+    def _best(self, table: str) -> dict[str, Version]:
+        """By day: the best rows that were taken from the day's published version."""
+        current = self.versions(table).current()
+        taken = self.best_versions(table).current()
+        return {
+            day: version
+            for day, version in taken.items()
+            if day in current and version.load.startswith(f"{current[day].load}_")
+        }
+
     def read_best(self, table: str, day: str) -> DataFrame | None:
         """The first ``BEST_ROWS`` rows of a day in report order, or None if the day has
         none that were taken from its published version."""
-        version = self.versions(table).current().get(day)
-        best = self.best_versions(table)
-        taken = best.current().get(day)
-        if version is None or taken is None or taken.load != version.load:
+        version = self._best(table).get(day)
+        if version is None:
             return None
-        spec = TABLES[table]
-        rows = self.spark.read.schema(spec.ddl).parquet(best.day_folder(taken))
-        rows = rows.withColumn("transaction_date", F.lit(dt.date.fromisoformat(day)))
-        return rows.select(*spec.column_names)
+        rows = self.spark.read.schema(TABLES[table].ddl)
+        return rows.parquet(self.best_versions(table).folder(version.load)).where(_on([day]))
 
     def snapshot(self, table: str) -> DataFrame:
         """The rows of now, read by path: still there when the catalog has forgotten."""
@@ -251,12 +257,12 @@ class Warehouse:
         Each task ranks its own rows first and hands on ``BEST_ROWS`` per day at most.
         """
         best = self.best_versions(table)
+        taken = f"{load}_{DayVersions.new_load()}"
         in_order = Window.partitionBy("transaction_date").orderBy(*ranking(TABLES[table]))
         place = F.row_number().over(in_order)
         rows = candidates.withColumn("__place", place).where(F.col("__place") <= BEST_ROWS)
-        best.discard(load)  # of an attempt that did not get as far as publishing
-        self._write_days(rows.drop("__place"), table, best.folder(load), None)
-        best.publish(load, days)
+        rows.drop("__place").write.parquet(best.folder(taken))
+        best.publish(taken, days)
 
     def _add_days(self, rows: DataFrame, table: str, days: BatchDays) -> int:
         """Write and publish days of which nothing is stored yet."""
@@ -274,7 +280,6 @@ class Warehouse:
     def _extend_days(self, rows: DataFrame, table: str, known: Sequence[str]) -> int:
         """Publish those of ``known`` anew that get rows of new keys."""
         spec, versions, load = TABLES[table], self.versions(table), DayVersions.new_load()
-        best = self.best_versions(table)
         stored = self.read_table(table).where(_on(known))
         fresh = new_keys_only(rows.where(_on(known)), stored, *spec.keys)
         part = f"{load}-part"
@@ -291,10 +296,8 @@ class Warehouse:
 
         # The best so far and the new rows hold the best of now, where they are of the
         # version that is replaced. Other days are ranked whole.
-        before, taken = versions.current(), best.current()
-        merged = [
-            d for d in days if d in before and d in taken and taken[d].load == before[d].load
-        ]
+        best = self._best(table)
+        merged = [day for day in days if day in best]
         parts = [added.where(_on(merged))] if merged else []
         parts += (self.read_best(table, day) for day in merged)
         others = sorted(set(days) - set(merged))
@@ -307,11 +310,11 @@ class Warehouse:
 
     def _mend_best(self, table: str, known: Sequence[str]) -> None:
         """Rank days whose best rows are missing, as after a load that died before them."""
-        versions, taken = self.versions(table), self.best_versions(table).current()
+        versions, best = self.versions(table), self._best(table)
         current = versions.current()
         by_load: dict[str, list[str]] = {}
         for day in known:
-            if day in current and (day not in taken or taken[day].load != current[day].load):
+            if day in current and day not in best:
                 by_load.setdefault(current[day].load, []).append(day)
         for load, days in by_load.items():
             rows = self._read_days(table, versions.folder(load)).where(_on(days))
@@ -351,7 +354,7 @@ class Warehouse:
         """Delete versions of days that are not published (any more), of all tables.
 
         For times when no load is under way and nobody reads what has been replaced.
-        Returns how many days of loads were deleted.
+        Returns how many loads and days of loads were deleted.
         """
         dated = [table for table, spec in TABLES.items() if spec.is_dated]
         kinds = (self.versions, self.best_versions)
