@@ -31,7 +31,6 @@ from paytally.llm.tokenizer import definition, library_encoder
 GROUP = 4096
 # A sequence that lacks more than this share is loose: its pieces are dealt again.
 LOOSE = 1 / 64
-ROUNDS = 40
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long, key long"
 PLACED = PIECES + ", bin long, offset long, loose boolean"
@@ -52,74 +51,97 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
-def _improve(target: list[int], donor: list[int], room: int, lengths: list[int]) -> int:
-    """Bring the fullest gain from ``donor`` into ``target`` that fits; returns the gain.
+class LocalSearch:
+    """Exchanges between underfull bins, each of which raises the sum of squared fills.
 
-    Tried are a move, one for one, two of the target for one, and one for two.
+    The fuller bin of an exchange takes one piece or two out of the other, and gives it
+    nothing, one piece or two: a move, one for one, two for one, one for two. What bins
+    can give is kept in order of length, as single pieces and as pairs, so that the one
+    that fills a gap best is found by bisection. Bins are filled in turn, the fullest
+    first, until a whole turn finds no exchange or no bin more than necessary is left.
     """
-    offered = sorted((lengths[i], i) for i in donor)
-    sizes = [x for x, _ in offered]
-    doubles = sorted(
-        (sizes[p] + sizes[q], offered[p][1], offered[q][1])
-        for p in range(len(offered))
-        for q in range(p)
-    )[: 4 * len(lengths)]
-    double_sizes = [x[0] for x in doubles]
-    best: tuple[int, tuple, tuple] = (0, (), ())
-
-    def attempt(out: tuple[int, ...]) -> None:
-        nonlocal best
-        freed = sum(lengths[i] for i in out)
-        k = bisect_right(sizes, freed + room) - 1
-        if k >= 0 and sizes[k] - freed > best[0]:
-            best = (sizes[k] - freed, out, (offered[k][1],))
-        if len(out) < 2:
-            k = bisect_right(double_sizes, freed + room) - 1
-            if k >= 0 and double_sizes[k] - freed > best[0]:
-                best = (double_sizes[k] - freed, out, doubles[k][1:])
-
-    attempt(())
-    for p, i in enumerate(target):
-        if best[0] == room:
-            break
-        attempt((i,))
-        for j in target[:p]:
-            attempt((i, j))
-    gain, out, into = best
-    if gain:
-        target[:] = [i for i in target if i not in out] + list(into)
-        donor[:] = [i for i in donor if i not in into] + list(out)
-    return gain
 
+    def __init__(self, bins: list[list[int]], lengths: list[int], size: int) -> None:
+        self.bins = [list(b) for b in bins]
+        self.lengths = lengths
+        self.size = size
+        self.fill = [sum(lengths[i] for i in b) for b in bins]
+        # (length or sum of two, bin), in order; of bins that are not full.
+        self.given: tuple[list, list] = ([], [])
+        for b in range(len(bins)):
+            if self.fill[b] < size:
+                for known, sums in zip(self.given, self._sums(b), strict=True):
+                    known += ((s, b) for s in sums)
+        for known in self.given:
+            known.sort()
+
+    def _sums(self, b: int) -> tuple[dict, dict]:
+        """Lengths of single pieces and of pairs in a bin, with pieces that have them."""
+        ones: dict[int, tuple] = {}
+        twos: dict[int, tuple] = {}
+        for i in self.bins[b]:
+            length = self.lengths[i]
+            if length not in ones:
+                for other, (j,) in ones.items():
+                    twos.setdefault(length + other, (i, j))
+                ones[length] = (i,)
+            else:
+                twos.setdefault(2 * length, (i, *ones[length]))
+        return ones, twos
+
+    def _enter(self, b: int) -> None:
+        for known, sums in zip(self.given, self._sums(b), strict=True):
+            for s in sums:
+                insort(known, (s, b))
+
+    def _leave(self, b: int) -> None:
+        for known, sums in zip(self.given, self._sums(b), strict=True):
+            for s in sums:
+                del known[bisect_left(known, (s, b))]
+
+    def _exchange(self, b: int) -> bool:
+        """Make the exchange that fills bin ``b`` most, if there is any."""
+        fill, room = self.fill, self.size - self.fill[b]
+        ones, twos = self._sums(b)
+        offers = [(0, ()), *ones.items()]
+        gain, chosen = 0, None
+        for number, known in enumerate(self.given):
+            for freed, out in offers if number else [*offers, *twos.items()]:
+                k = bisect_right(known, (freed + room, len(fill))) - 1
+                while k >= 0 and known[k][0] - freed > gain:
+                    taken, giver = known[k]
+                    if giver != b and fill[b] + taken - freed > fill[giver]:
+                        gain, chosen = taken - freed, (out, giver, number, taken)
+                        break
+                    k -= 1
+        if chosen is None:
+            return False
+        out, giver, number, taken = chosen
+        into = self._sums(giver)[number][taken]
+        for bin_, gone, come in ((b, out, into), (giver, into, out)):
+            self._leave(bin_)
+            self.bins[bin_] = [i for i in self.bins[bin_] if i not in gone] + list(come)
+        fill[b] += gain
+        fill[giver] -= gain
+        for bin_ in (b, giver):
+            if fill[bin_] < self.size:
+                self._enter(bin_)
+        return True
+
+    def run(self) -> list[list[int]]:
+        least = -(-sum(self.fill) // self.size)
+        moved = True
+        while moved and sum(map(bool, self.fill)) > least:
+            moved = False
+            for b in sorted(range(len(self.fill)), key=lambda b: -self.fill[b]):
+                while 0 < self.fill[b] < self.size and self._exchange(b):
+                    moved = True
+        return [b for b in self.bins if b]
 
-def local_search(bins: list[list[int]], lengths: list[int], size: int) -> list[list[int]]:
-    """Empty the emptiest bin into the others for as long as that works.
 
-    Every step fills a fuller bin from an emptier one, so it raises the squared fill.
-    """
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    least = -(-sum(lengths) // size)
-    alive = [b for b in range(len(bins)) if bins[b]]
-    for _ in range(ROUNDS):
-        if len(alive) <= least:
-            break
-        alive.sort(key=lambda b: -fill[b])
-        donor = alive[-1]
-        moved = 0
-        for b in alive[:-1]:
-            if fill[donor] == 0:
-                break
-            if fill[b] == size or fill[b] < fill[donor]:
-                continue
-            gain = _improve(bins[b], bins[donor], size - fill[b], lengths)
-            fill[b] += gain
-            fill[donor] -= gain
-            moved += gain
-        if fill[donor] == 0:
-            alive.pop()
-        elif not moved:
-            break
-    return [bins[b] for b in alive]
+def local_search(bins: list[list[int]], lengths: list[int], size: int) -> list[list[int]]:
+    """The same pieces in fewer bins, where exchanges can empty some."""
+    return LocalSearch(bins, lengths, size).run()
 
 
 def pack_group(lengths: list[int], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

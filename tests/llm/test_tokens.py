@@ -264,3 +264,31 @@ def test_exchanges_empty_a_bin():
     lengths = [60, 30, 50, 20, 40]
     bins = packing.local_search([[0, 1], [2, 3], [4]], lengths, 100)
     assert len(bins) == 2
+
+
+@pytest.mark.parametrize("low, high, most", [(400, 900, 1303), (300, 1200, 1460), (500, 1000, 1560)])
+def test_exchanges_save_sequences(low, high, most):
+    """Where three pieces or so fill a sequence, best fit alone leaves much to gain."""
+    lengths = np.random.default_rng(3).integers(low, high + 1, 4000).tolist()
+    before = packing.best_fit(lengths, 2048)
+    after = packing.local_search(before, lengths, 2048)
+    assert sorted(i for b in after for i in b) == list(range(4000))
+    assert max(sum(lengths[i] for i in b) for b in after) <= 2048
+    assert len(after) <= most < len(before)
+
+
+def test_search_of_many_equal_and_tiny_pieces():
+    rng = np.random.default_rng(4)
+    for lengths in ([1] * 4096, [683] * 4096, rng.integers(1, 40, 4096).tolist(),
+                    [*rng.integers(1, 30, 2000).tolist(), *[1100] * 2096]):
+        after = packing.local_search(packing.best_fit(lengths, 2048), lengths, 2048)
+        assert sorted(i for b in after for i in b) == list(range(4096))
+        assert max(sum(lengths[i] for i in b) for b in after) <= 2048
+
+
+def test_a_group_is_searched_through_spark(spark):
+    lengths = np.random.default_rng(3).integers(400, 901, 4000).tolist()
+    rows = [(k, 0, 0, length, k) for k, length in enumerate(lengths)]
+    ddl = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    found = packing.pack(spark.createDataFrame(rows, ddl), 2048).collect()
+    assert check_packing(found, rows, 2048) <= 1303
