@@ -2,6 +2,7 @@
 
 Each language has a probability for each piece of a fixed public vocabulary. A word is
 any sequence of pieces that spells it; the forward algorithm sums over all of them. A
+word is a run of letters and the marks that combine with them. A
 text's score for a language is the product over its words, and the answer is the
 language of the highest posterior under equal priors. Piece probabilities are learned
 by expectation maximisation on the words of a bounded sample of labelled documents.
@@ -15,15 +16,19 @@ repeated rows each give a row; an empty table gives none; further columns are ig
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytally.llm.common import let, materialised, slices
+from paytally.llm.common import materialised, slices
 from paytally.llm.folds import held_out, learnable, sample_per_class
 
 # Learned from about this many documents of each language, and from that many of their
@@ -33,11 +38,8 @@ SAMPLE_WORDS = 40_000
 LONGEST_LEARNED = 24
 EM_ROUNDS = 2
 SMOOTHING = 0.02
-# Pieces of the vocabulary longer than this are left out, as few words have them.
-LONGEST_PIECE = 12
 START = "▁"
 UNDETERMINED = "und"
-_WORD = re.compile(r"[^\W\d_]+")
 MOST_KNOWN = 200_000
 
 
@@ -51,16 +53,32 @@ def read_pieces(path: str) -> list[str]:
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
             piece = model.id_to_piece(i)
             plain = piece.removeprefix(START)
-            if len(piece) <= LONGEST_PIECE and piece == piece.lower() and not plain.isdigit():
+            if piece == piece.lower() and not plain.isdigit():
                 pieces.append(piece)
     return pieces
 
 
+@lru_cache(maxsize=1)
+def _letters() -> re.Pattern:
+    """Runs of letters and combining marks, by their general category."""
+    spans: list[list[int]] = []
+    for code in range(sys.maxunicode + 1):
+        if category(chr(code))[0] in "LM":
+            if spans and spans[-1][1] == code - 1:
+                spans[-1][1] = code
+            else:
+                spans.append([code, code])
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans) + "]+")
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters and marks that have a letter, in lower case; for learning as for
+    scoring."""
+    runs = _letters().findall(text.lower())
+    return [w for w in runs if w[0].isalpha() or any(map(str.isalpha, w))]
 
 
-def _steps(words: list[str], place: dict[str, int], unknown: int):
+def _steps(words: list[str], place: dict[str, int], unknown: int, longest: int):
     """For words of one length with the start mark: (begin, size, piece of each word).
 
     The piece is ``unknown`` for a single character that is no piece, and the one after
@@ -68,7 +86,7 @@ def _steps(words: list[str], place: dict[str, int], unknown: int):
     """
     length, none, get = len(words[0]), unknown + 1, place.get
     for end in range(1, length + 1):
-        for begin in range(max(0, end - LONGEST_PIECE), end):
+        for begin in range(max(0, end - longest), end):
             default = unknown if end - begin == 1 else none
             ids = [get(w[begin:end], default) for w in words]
             yield begin, end, np.array(ids, np.int64)
@@ -81,6 +99,7 @@ def log_probabilities(words: list[str], place: dict, table: np.ndarray) -> np.nd
     and a row of zeros.
     """
     out = np.zeros((len(words), table.shape[1]))
+    longest = max(map(len, place), default=1)
     by_length: dict[int, list[int]] = {}
     for k, word in enumerate(words):
         by_length.setdefault(len(word), []).append(k)
@@ -89,11 +108,11 @@ def log_probabilities(words: list[str], place: dict, table: np.ndarray) -> np.nd
             part = mine[first : first + 4096]
             marked = [START + words[k] for k in part]
             # A ring of the last positions is enough, and lets it be rescaled.
-            ring = np.zeros((LONGEST_PIECE + 1, len(part), table.shape[1]))
+            ring = np.zeros((longest + 1, len(part), table.shape[1]))
             ring[0] = 1.0
             scale = np.zeros((len(part), table.shape[1]))
             now = 0
-            for begin, end, ids in _steps(marked, place, len(table) - 2):
+            for begin, end, ids in _steps(marked, place, len(table) - 2, longest):
                 if end != now:
                     if now and now % 8 == 0:
                         top = ring[now % len(ring)]
@@ -111,12 +130,13 @@ def expected_counts(
 ) -> np.ndarray:
     """How often each piece is expected in the words of one language, by weight."""
     counts = np.zeros(len(probabilities))
+    longest = max(map(len, place), default=1)
     by_length: dict[int, list[int]] = {}
     for k, word in enumerate(words):
         by_length.setdefault(len(word), []).append(k)
     for length, mine in by_length.items():
         marked = [START + words[k] for k in mine]
-        steps = list(_steps(marked, place, len(probabilities) - 2))
+        steps = list(_steps(marked, place, len(probabilities) - 2, longest))
         forward = np.zeros((length + 2, len(mine)))
         backward = np.zeros((length + 2, len(mine)))
         forward[0] = backward[length + 1] = 1.0
@@ -144,6 +164,25 @@ def _normalised(counts: np.ndarray) -> np.ndarray:
     return smooth / smooth.sum()
 
 
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, n): words of ``docs``, counted by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[tuple[str, str]] = Counter()
+            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts.update((lang, w) for w in words_of(text) if len(w) <= LONGEST_LEARNED)
+            langs, words = zip(*counts, strict=True) if counts else ([], [])
+            arrays = [
+                pa.array(langs, pa.string()),
+                pa.array(words, pa.string()),
+                pa.array(counts.values(), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "n"])
+
+    return docs.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
+
+
 def train(docs: DataFrame, pieces: list[str]) -> LanguageModel:
     """Learn from rows whose fold is not held out and whose language is given.
 
@@ -153,14 +192,7 @@ def train(docs: DataFrame, pieces: list[str]) -> LanguageModel:
     spark = docs.sparkSession
     usable = docs.where(learnable() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     chosen = sample_per_class(usable.select("doc_id", "lang", "text"), "lang", SAMPLE_DOCS)
-    # Split at white space only: letters are told apart in Python, as when scoring.
-    split = let(F.lower("text"), lambda t: F.split(t, r"[^\p{L}\p{M}]+"))
-    counted = (
-        chosen.select("lang", F.explode(split).alias("word"))
-        .where((F.char_length("word") > 0) & (F.char_length("word") <= LONGEST_LEARNED))
-        .groupBy("lang", "word")
-        .agg(F.count("*").alias("n"))
-    )
+    counted = _word_counts(chosen).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     # Frequent words are few, so each language's are cut off at a count, not sorted.
     held = materialised(counted, "words")
     totals = held.groupBy("lang", "n").agg(F.count("*").alias("words")).collect()
