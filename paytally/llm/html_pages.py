@@ -88,9 +88,23 @@ def _form(rng: random.Random) -> str:
     return f'<form action="/" data-main="0">{fields}<button>Send</button></form>'
 
 
+def _bare_page(rng: random.Random) -> str:
+    """Text without any layout, be it short: all of it is the article."""
+    short = rng.random() < 0.5
+    lines = [_sentence(rng) if short else _text(rng) for _ in range(rng.randint(1, 6))]
+    kind = rng.random()
+    if kind < 0.3:
+        return f'<html data-main="1">{lines[0]}' + "".join(f"<p>{x}" for x in lines[1:]) + "</html>"
+    head = f"<h1>{_sentence(rng, 1, 5)}</h1>" if rng.random() < 0.5 else ""
+    if kind < 0.5:
+        lines[-1] = "<ul>" + "".join(f"<li>{_sentence(rng, 1, 6)}</li>" for _ in range(3)) + "</ul>"
+    body = head + "".join(x if x.startswith("<ul") else f"<p>{x}</p>" for x in lines)
+    return f'<html data-main="1"><body>{body}</body></html>'
+
+
 def labelled_page(rng: random.Random) -> str:
-    if rng.random() < 0.04:
-        return f'<html data-main="1">{_text(rng)}<p>{_text(rng)}</html>'
+    if rng.random() < 0.08:
+        return _bare_page(rng)
     open_article = rng.choice(
         [
             "<article{}>",

@@ -36,6 +36,8 @@ BAD = frozenset(
     "toolbar pagination pager copyright legal search form complementary contentinfo".split()
 )
 _WORD = re.compile(r"[a-z]+")
+# Kinds of elements without which a page has no layout: nothing but text.
+PLAIN = frozenset("html head body p heading list item quote br".split())
 KINDS = {
     **dict.fromkeys(("article", "main"), "article"),
     **dict.fromkeys(("nav", "menu", "search"), "nav"),
@@ -61,7 +63,7 @@ def _hint(node: Node) -> str:
     return "bad" if words & BAD else "good" if words & GOOD else "none"
 
 
-def _features(tree: Tree) -> list[tuple[tuple, tuple, tuple]]:
+def _features(tree: Tree) -> list[tuple[tuple, ...]]:
     """Features of each node; text and links of a node count those of its descendants."""
     chars = [n.chars for n in tree.nodes]
     linked = [n.linked for n in tree.nodes]
@@ -69,11 +71,14 @@ def _features(tree: Tree) -> list[tuple[tuple, tuple, tuple]]:
         parent = tree.nodes[i].parent
         chars[parent] += chars[i]
         linked[parent] += linked[i]
+    bare = all(_kind(node) in PLAIN and _hint(node) != "bad" for node in tree.nodes)
     found = []
     for node, all_chars, all_linked in zip(tree.nodes, chars, linked, strict=True):
         own = min(4, node.chars and 1 + int(math.log2(1 + node.chars / 25)))
         density = min(3, int(4 * all_linked / all_chars)) if all_chars else -1
         found.append((("kind", _kind(node)), ("hint", _hint(node)), ("text", own, density)))
+    # Whether there is a layout at all tells what the page itself is.
+    found[0] = (*found[0], ("bare", bare))
     return found
 
 

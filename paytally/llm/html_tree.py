@@ -4,15 +4,12 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|</?[a-zA-Z][^\s/>\"'<]*(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>"
-    r"|</?[a-zA-Z][^>]*>",
-    re.S,
-)
+# What may stand in a tag before its end: quoted values, and anything else but ">". Each
+# part is taken once and never given back.
+_INSIDE = re.compile(r"(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(
     r"[\s\"'/](class|id|role|hidden|aria-hidden|style|data-main)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
@@ -78,11 +75,48 @@ def _attributes(tag: str) -> tuple[str, bool, int | None]:
     return " ".join(hints), hidden, label
 
 
+class _Tags:
+    """Finds tags, comments and declarations, from the front of a page to its end.
+
+    A comment or declaration that is not ended goes on to the end of the page. What
+    begins like a tag is none if no ">" follows. A quote that is never closed does not
+    count, and neither do the quotes in tags before it, from the one on that ran into it.
+    So nothing is read over and over again, whatever the page.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.unclosed = -1
+
+    def after(self, at: int) -> tuple[int, int] | None:
+        """Begin and end of the first one from ``at`` on."""
+        page = self.page
+        while (begin := page.find("<", at)) >= 0:
+            if page.startswith("<!--", begin):
+                end = page.find("-->", begin + 4)
+                return begin, len(page) if end < 0 else end + 3
+            if page.startswith(("<!", "<?"), begin):
+                end = page.find(">", begin)
+                return begin, len(page) if end < 0 else end + 1
+            if _NAME.match(page, begin):
+                end = len(page)
+                if begin > self.unclosed:
+                    end = _INSIDE.match(page, begin).end()
+                    if end < len(page) and page[end] != ">":
+                        self.unclosed, end = end, len(page)
+                if end == len(page):
+                    end = page.find(">", begin)
+                return None if end < 0 else (begin, end + 1)
+            at = begin + 1
+        return None
+
+
 def read(page: str) -> Tree:
     """The tree of a page; whatever the page, it has a root."""
     nodes = [Node("html", -1, "", False)]
     runs: list[tuple[int, str]] = []
     stack = [0]
+    open_now: Counter[str] = Counter()  # open elements but the root, by tag
     parts: list[str] = []
     links = hidden_depth = 0
     hidden_tag = ""
@@ -104,27 +138,36 @@ def read(page: str) -> Tree:
             if links:
                 nodes[stack[-1]].linked += size
 
+    def pop(depth: int) -> None:
+        for i in stack[depth:]:
+            open_now[nodes[i].tag] -= 1
+        del stack[depth:]
+
     def close(tag: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if nodes[stack[depth]].tag == tag:
-                del stack[depth:]
-                return
-
-    at, find = 0, _TAG.search
-    while (match := find(page, at)) is not None:
-        add(page[at : match.start()])
-        at = match.end()
-        name = _NAME.match(match[0])
+        if not open_now[tag]:
+            return
+        depth = len(stack) - 1
+        while nodes[stack[depth]].tag != tag:
+            depth -= 1
+        pop(depth)
+
+    at, tags = 0, _Tags(page)
+    while found := tags.after(at):
+        begin, end = found
+        add(page[at:begin])
+        at = end
+        whole = page[begin:end]
+        name = _NAME.match(whole)
         if name is None:
             continue  # a comment or a declaration
-        tag, ending = name[1].lower(), match[0][1] == "/"
+        tag, ending = name[1].lower(), whole[1] == "/"
         if tag in RAW and not ending:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
         elif tag in HIDDEN:
             if hidden_depth and tag == hidden_tag:
                 hidden_depth += -1 if ending else 1
-            elif not hidden_depth and not ending and not match[0].endswith("/>"):
+            elif not hidden_depth and not ending and not whole.endswith("/>"):
                 hidden_tag, hidden_depth = tag, 1
         elif hidden_depth and tag not in BLOCKS:
             continue
@@ -141,16 +184,17 @@ def read(page: str) -> Tree:
             for depth in range(len(stack) - 1, 0, -1):
                 own = nodes[stack[depth]].tag
                 if tag in _ENDS.get(own, ()):
-                    del stack[depth:]
+                    pop(depth)
                     break
                 if own in _SCOPES or own not in ("p", "li", "dt", "dd", "td", "th", "tr"):
                     break
-            hints, hidden, label = _attributes(match[0])
+            hints, hidden, label = _attributes(whole)
             if tag == "html":
                 nodes[0].label = label
                 continue
             nodes.append(Node(tag, stack[-1], hints, hidden, label))
             stack.append(len(nodes) - 1)
+            open_now[tag] += 1
         elif tag == "br":
             parts.append(" ")
         elif tag == "hr":

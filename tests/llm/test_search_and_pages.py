@@ -168,9 +168,51 @@ def test_odd_pages(spark):
     assert html_text.main_text(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a" * 500_000,
+        '<a href="x" ' * 80_000,
+        "<div>" * 100_000 + "</p>" * 120_000,
+        "<a \"'" * 200_000,
+        '<a "><a "' * 110_000 + "'",
+        "<td><li>" * 60_000,
+        "<!--" * 250_000,
+        "<script>" * 125_000,
+        "<" * 1_000_000,
+    ],
+    ids=["open", "attributes", "unopened", "quotes", "unclosed", "nested", "comments", "raw", "signs"],
+)
+def test_long_pages_of_open_tags_are_read_in_one_pass(page):
+    model = html_text.train(labelled_pages(40))
+    begin = time.process_time()
+    model.text(page)
+    assert time.process_time() - begin < 6  # it was minutes
+
+
+def test_quotes_in_scripts_and_open_quotes_hide_no_text():
+    def runs(page):
+        return [text for _, text in read(page).runs]
+
+    assert runs("<script>if (a<b && c=='\"x) {}</script><p title=\"y\">One</p><p>Two") == ["One", "Two"]
+    assert runs("<p>One</p><p title=\"x>Two</p><p>Three</p>") == ["One", "Two", "Three"]
+    assert runs("<p title='a > b'>One</p> 1 < 2 <p>Two") == ["One", "1 < 2", "Two"]
+    assert runs("<p>One</p></div></p><p>a <b") == ["One", "a <b"]
+
+
+def test_pages_without_a_layout_are_text():
+    model = html_text.train(labelled_pages())
+    assert model.text("<p>Only one short line</p>") == "Only one short line"
+    assert model.text("just some text") == "just some text"
+    assert model.text("<body><p>One.</p><p>Two.</p><p>And three.</p></body>") == "One.\nTwo.\nAnd three."
+    page = "<html><head><title>x</title></head><body><h1>Head</h1><p>Short.</p></body></html>"
+    assert model.text(page) == "Head\nShort."
+
+
 def test_op3_equals_the_articles(spark):
     import html
     import re
+import time
 
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for row in queries.op3_html_text(spark, SF).collect():
