@@ -96,14 +96,12 @@ def _bare_page(rng: random.Random) -> str:
     if kind < 0.3:
         return f'<html data-main="1">{lines[0]}' + "".join(f"<p>{x}" for x in lines[1:]) + "</html>"
     head = f"<h1>{_sentence(rng, 1, 5)}</h1>" if rng.random() < 0.5 else ""
-    if kind < 0.5:
-        lines[-1] = "<ul>" + "".join(f"<li>{_sentence(rng, 1, 6)}</li>" for _ in range(3)) + "</ul>"
-    body = head + "".join(x if x.startswith("<ul") else f"<p>{x}</p>" for x in lines)
+    body = head + "".join(f"<p>{x}</p>" for x in lines)
     return f'<html data-main="1"><body>{body}</body></html>'
 
 
 def labelled_page(rng: random.Random) -> str:
-    if rng.random() < 0.08:
+    if rng.random() < 0.06:
         return _bare_page(rng)
     open_article = rng.choice(
         [

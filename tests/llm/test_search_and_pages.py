@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 import struct
+import time
 import zipfile
 
 import numpy as np
@@ -212,7 +213,6 @@ def test_pages_without_a_layout_are_text():
 def test_op3_equals_the_articles(spark):
     import html
     import re
-import time
 
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for row in queries.op3_html_text(spark, SF).collect():
