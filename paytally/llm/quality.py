@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from string import ascii_letters
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,11 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``low <= 100 * part / whole <= high``, for texts of ``least_words`` or more."""
+    """``low <= 100 * part / whole <= high``, for texts of ``least_words`` or more.
+
+    With ``only`` (part, whole, share): for texts in which 100 * part / whole is that
+    share at least.
+    """
 
     name: str
     part: str
@@ -46,21 +51,31 @@ class Rule:
     low: int | None = None
     high: int | None = None
     least_words: int = 0
+    only: tuple[str, str, int] | None = None
 
     def fails(self) -> Column:
         part, whole = F.col(self.part), F.greatest(F.col(self.whole), F.lit(1))
         below = 100 * part < self.low * whole if self.low is not None else F.lit(False)
         above = 100 * part > self.high * whole if self.high is not None else F.lit(False)
-        return (F.col("n_words") >= self.least_words) & (below | above)
+        fails = (F.col("n_words") >= self.least_words) & (below | above)
+        if self.only:
+            own, of_all, share = self.only
+            fails &= 100 * F.col(own) >= share * F.col(of_all)
+        return fails
 
 
 # A text is rejected if any of these fails. The bounds are wide: a text of running
-# prose in any language with spaces passes all of them.
+# prose in any language with spaces passes all of them. One stop word is asked for where
+# at least half of the characters are ASCII letters: most languages written so have words
+# that look like one of the list, and those in other scripts cannot.
 RULES = (
     Rule("short_words", "word_chars", "n_words", low=150),
     Rule("long_words", "word_chars", "n_words", high=1500),
     Rule("symbols", "n_symbols", "n_words", high=10),
-    Rule("stop_words", "n_stop_words", "one", low=100, least_words=100),
+    Rule(
+        "stop_words", "n_stop_words", "one", low=100, least_words=100,
+        only=("n_ascii_letters", "word_chars", 50),
+    ),
     Rule("repeated_lines", "n_dup_lines", "n_lines", high=50),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=90, least_words=50),
     Rule("cut_lines", "n_cut_lines", "n_lines", high=50, least_words=50),
@@ -69,6 +84,7 @@ RULES = (
 MEASURES = (
     "n_words",
     "word_chars",
+    "n_ascii_letters",
     "n_symbols",
     "n_dup_lines",
     "n_repeat_words",
@@ -157,6 +173,7 @@ def _measures(text: Column) -> Column:
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.rlike(x, F.lit(WORD)))
     chars = {
         "word_chars": without(WHITE),
+        "n_ascii_letters": F.char_length(text) - without(ascii_letters),
         "n_symbols": F.char_length(text) - without(SYMBOLS),
         "one": F.lit(1),
     }
@@ -173,7 +190,7 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     measured = docs.select(*(F.col(f"`{c}`") for c in own), let(text, _measures).alias("__m"))
     parts = {
-        **dict.fromkeys(("word_chars", "n_symbols", "one"), "chars"),
+        **dict.fromkeys(("word_chars", "n_ascii_letters", "n_symbols", "one"), "chars"),
         **dict.fromkeys(("n_words", "n_repeat_words", "n_stop_words"), "words"),
         **dict.fromkeys(("n_lines", "n_dup_lines", "n_bullet_lines", "n_cut_lines"), "lines"),
     }

@@ -117,7 +117,11 @@ def _rule_sql(rule) -> str:
         bounds.append(f"100 * {rule.part} < {rule.low} * greatest({rule.whole}, 1)")
     if rule.high is not None:
         bounds.append(f"100 * {rule.part} > {rule.high} * greatest({rule.whole}, 1)")
-    return f"(n_words >= {rule.least_words} AND ({' OR '.join(bounds)}))"
+    only = ""
+    if rule.only:
+        own, of_all, share = rule.only
+        only = f" AND 100 * {own} >= {share} * {of_all}"
+    return f"(n_words >= {rule.least_words} AND ({' OR '.join(bounds)}){only})"
 
 
 def _quality_sql() -> str:
@@ -146,6 +150,8 @@ m AS (
   SELECT doc_id, len(words) AS n_words, 1 AS one,
          CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT)
            AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[a-zA-Z]', '', 'g')) AS BIGINT)
+           AS n_ascii_letters,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)
            AS n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,

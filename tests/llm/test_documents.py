@@ -63,6 +63,24 @@ def test_measures_equal_brute_force(docs, odd):
         assert r.kept == (not base and not r.failed)
 
 
+def test_prose_in_other_scripts_needs_no_stop_word(docs):
+    rng = random.Random(3)
+
+    def prose(words):
+        return " ".join(rng.choice(words.split()) for _ in range(204))
+
+    rows = [
+        (1, prose("река мост утро город письмо окно камень зима остров ответ сигнал лес")),
+        (2, prose("ποτάμι γέφυρα πρωί πόλη γράμμα παράθυρο πέτρα χειμώνας νησί")),
+        (3, prose("नदी पुल सुबह शहर पत्र खिड़की पत्थर सर्दी द्वीप उत्तर")),
+        (4, prose("zzq xxw qqp wwk vvn kkz ppx ttq")),
+        (5, prose("zzq xxw qqp the wwk vvn kkz")),
+    ]
+    found = {r.doc_id: (r.kept, r.failed) for r in quality(docs(*rows)).collect()}
+    assert all(found[i] == (True, []) for i in (1, 2, 3, 5)), found
+    assert found[4] == (False, ["stop_words"])
+
+
 def test_accepted_rows_keep_their_columns(docs):
     clean = "The river and the bridge of the old town " + " ".join(f"word{i}" for i in range(30))
     frame = docs((1, clean), (2, None), (3, "#$ " * 50), (1, clean))
