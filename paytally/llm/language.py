@@ -164,21 +164,30 @@ def _normalised(counts: np.ndarray) -> np.ndarray:
     return smooth / smooth.sum()
 
 
+def _text_slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts of a column, a null as an empty one, some at a time, and where they begin."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    for first, last in slices(sizes):
+        yield first, [t or "" for t in texts.slice(first, last - first).to_pylist()]
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n): words of ``docs``, counted by batch."""
+    """(lang, word, n): words of ``docs``, counted some texts at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter[tuple[str, str]] = Counter()
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts.update((lang, w) for w in words_of(text) if len(w) <= LONGEST_LEARNED)
-            langs, words = zip(*counts, strict=True) if counts else ([], [])
-            arrays = [
-                pa.array(langs, pa.string()),
-                pa.array(words, pa.string()),
-                pa.array(counts.values(), pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "n"])
+            for first, part in _text_slices(batch.column(1)):
+                langs = batch.column(0).slice(first, len(part)).to_pylist()
+                counts: Counter[tuple[str, str]] = Counter()
+                for lang, text in zip(langs, part, strict=True):
+                    counts.update((lang, w) for w in words_of(text) if len(w) <= LONGEST_LEARNED)
+                names, words = zip(*counts, strict=True) if counts else ([], [])
+                arrays = [
+                    pa.array(names, pa.string()),
+                    pa.array(words, pa.string()),
+                    pa.array(counts.values(), pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "n"])
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
 
@@ -279,22 +288,23 @@ class Scorer:
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, its posterior."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    frame = docs.select(*(F.col(f"`{c}`") for c in kept), F.col("text").alias("__text"))
-    schema = docs.select(*(F.col(f"`{c}`") for c in kept)).schema
-    schema = schema.add("lang_pred", "string").add("score", "double")
+    frame = docs.select(
+        *(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score"))
+    )
+    schema = frame.schema.add("lang_pred", "string").add("score", "double")
+    text = [c.lower() for c in frame.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         names = shared.value.languages
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            found, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            for k, posterior in scorer.posteriors(texts):
-                if posterior is not None:
-                    best = int(posterior.argmax())
-                    found[k], scores[k] = names[best], float(posterior[best])
-            arrays = [*batch.columns[:-1], pa.array(found), pa.array(scores)]
+            found, scores = [UNDETERMINED] * batch.num_rows, [0.0] * batch.num_rows
+            for first, part in _text_slices(batch.column(text)):
+                for k, posterior in scorer.posteriors(part):
+                    if posterior is not None:
+                        best = int(posterior.argmax())
+                        found[first + k], scores[first + k] = names[best], float(posterior[best])
+            arrays = [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return frame.mapInArrow(run, schema)
