@@ -30,6 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,8 +187,8 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
 
 def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and values of a column of lists."""
-    sizes = pa.compute.list_value_length(column).to_numpy()
-    flat = pa.compute.list_flatten(column).to_numpy()
+    sizes = pc.list_value_length(column).to_numpy()
+    flat = pc.list_flatten(column).to_numpy()
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), flat.astype(np.int64)
 
 
@@ -209,8 +210,8 @@ def _ranked(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _shards(batches, most):
-            ids = pa.compute.fill_null(table.column("doc_id"), int(_NO_ID)).to_numpy()
-            missing = pa.compute.is_null(table.column("doc_id")).to_numpy()
+            ids = pc.fill_null(table.column("doc_id"), int(_NO_ID)).to_numpy()
+            missing = pc.is_null(table.column("doc_id")).to_numpy()
             starts, terms = _lists(table.column("terms"))
             _, tf = _lists(table.column("counts"))
             # Exact beyond 64 bits, as the product of words and documents may be.

@@ -37,6 +37,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -409,7 +410,7 @@ def _solved(segments: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pa.compute.list_value_length(batch.column("copies")).to_pylist()
+            sizes = pc.list_value_length(batch.column("copies")).to_pylist()
             for first, last in slices(sizes, RANKED_ROWS):
                 part = batch.slice(first, last - first)
                 lists = (part.column(c).to_pylist() for c in ("forced", "cut", "roles", "copies", "behind"))
@@ -550,7 +551,7 @@ def _edited(planned: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pa.compute.list_value_length(batch.column("copies")).to_pylist()
+            sizes = pc.list_value_length(batch.column("copies")).to_pylist()
             for first, last in slices(sizes, RANKED_ROWS):
                 part = batch.slice(first, last - first)
                 out = []

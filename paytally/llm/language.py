@@ -25,8 +25,10 @@ from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paytally.llm.common import materialised, slices
 from paytally.llm.folds import held_out, learnable, sample_per_class
@@ -166,7 +168,7 @@ def _normalised(counts: np.ndarray) -> np.ndarray:
 
 def _text_slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """Texts of a column, a null as an empty one, some at a time, and where they begin."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     for first, last in slices(sizes):
         yield first, [t or "" for t in texts.slice(first, last - first).to_pylist()]
 
@@ -291,7 +293,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     frame = docs.select(
         *(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score"))
     )
-    schema = frame.schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([*frame.schema]).add("lang_pred", "string").add("score", "double")
     text = [c.lower() for c in frame.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
