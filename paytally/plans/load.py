@@ -110,9 +110,12 @@ def _side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], int]]) -> di
     """Run independent writes at the same time, so that their small last stages
     fill the cluster together. The first failure is raised after all have ended.
     """
-    target = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
-        running = {name: pool.submit(target(job)) for name, job in jobs.items()}
+        # Each with a copy of the thread's properties of its own: Spark notes the running
+        # query there, and would lose it to another thread.
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+        }
     return {name: done.result() for name, done in running.items()}
 
 
