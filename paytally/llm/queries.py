@@ -41,7 +41,7 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
     files = token_files.write(docs, scratch_path(spark, "tokens"), path, end_id=1)
-    return token_files.digests(spark, files)
+    return token_files.digests(files)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    return warc.read(spark, paths).drop("url")
+    return warc.read(paths).drop("url")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Token ids of a corpus as files of patched frame-of-reference blocks, in id order.
 
 ``write`` sorts the documents by range of doc_id; each task encodes its range and writes
-files of at most ``ids_per_file`` ids (one document more, if that is larger). ``digests``
-reads the files back by ranges.
+files of at most ``ids_per_file`` ids (one document more, if that is larger). What the
+files hold is a written table, and the first id of each comes from sums over it.
+``digests`` reads the files back by ranges.
 
 Defined results for odd input: a null or empty text has no ids but the end id; a null
-doc_id sorts first; documents of equal doc_id are ordered by text; very long texts are
+doc_id sorts first; documents of equal doc_id are ordered by a hash of the text, so that
+many of them are spread over tasks, also where their texts are equal; very long texts are
 encoded whole; an empty table gives no files and no rows; further columns are ignored.
 """
 
@@ -17,9 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from paytally.llm.common import MB, partitions
+from paytally.llm.common import MB, materialised, partitions
 from paytally.llm.files import existing_file, new_file
 from paytally.llm.frame_of_reference import TokenFile, file_bytes
 from paytally.llm.tokenizer import definition, library_encoder
@@ -27,30 +30,42 @@ from paytally.llm.tokenizer import definition, library_encoder
 IDS_PER_FILE = 2_000_000
 # A task sorts and encodes about this much of the table, as Spark estimates its size.
 PART_BYTES = 6 * MB
+# Larger tables have larger tasks, which write more files each.
+MOST_PARTS = 20_000
+# The files are read back in at most this many tasks.
+MOST_READERS = 10_000
 # Documents are read back this many ids at a time.
 IDS_PER_READ = 1_000_000
 
 
 def write(
     docs: DataFrame, folder: str, path: str, end_id: int, ids_per_file: int = IDS_PER_FILE
-) -> list[tuple[str, int, int]]:
-    """Write the files; return (file, start, ids) in order, one entry per file."""
+) -> DataFrame:
+    """Write the files; return a row ``file, start, ids`` for each.
+
+    A file has the name of the attempt that wrote it; only those of attempts that ended
+    well are listed.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(definition(path))
     narrow = docs.select("doc_id", "text")
-    ordered = narrow.repartitionByRange(partitions(narrow, PART_BYTES), "doc_id").sortWithinPartitions(
-        "doc_id", "text"
+    parts = min(partitions(narrow, PART_BYTES), MOST_PARTS)
+    order = ["doc_id", "text_hash", "row"]
+    numbered = narrow.withColumn("text_hash", F.xxhash64("text")).withColumn(
+        "row", F.monotonically_increasing_id()
     )
+    ordered = numbered.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(shared.value)
-        part = TaskContext.get().partitionId()
+        task = TaskContext.get()
+        part, attempt = task.partitionId(), task.taskAttemptId()
         end = np.array([end_id], np.uint32)
         held, doc_ids, counts, files = [], [], [], []
         total = 0
 
         def flush() -> None:
-            uri = f"{folder}/ids-{part:06d}-{len(files):06d}.pfor"
+            uri = f"{folder}/ids-{part:06d}-{attempt}-{len(files):06d}.pfor"
             with new_file(uri) as out:
                 out.write(file_bytes(np.concatenate(held), doc_ids, counts))
             files.append((part, len(files), uri, sum(counts)))
@@ -80,15 +95,25 @@ def write(
             names=["part", "k", "file", "ids"],
         )
 
-    rows = ordered.mapInArrow(run, "part long, k long, file string, ids long").collect()
-    files, start = [], 0
-    for row in sorted(rows, key=lambda r: (r.part, r.k)):
-        files.append((row.file, start, row.ids))
-        start += row.ids
-    return files
+    encoded = ordered.select("doc_id", "text")
+    files = materialised(
+        encoded.mapInArrow(run, "part long, k long, file string, ids long"), "token_lists"
+    )
+    return _with_starts(files)
+
+
+def _with_starts(files: DataFrame) -> DataFrame:
+    """``file, start, ids``: sums over the parts (``MOST_PARTS`` at most) and within each."""
+    sums = files.groupBy("part").agg(F.sum("ids").alias("part_ids"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("part", F.sum("part_ids").over(earlier).alias("base"))
+    inside = Window.partitionBy("part").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("long")
+    start = F.coalesce("base", none) + F.coalesce(F.sum("ids").over(inside), none)
+    return files.join(F.broadcast(bases), "part").select("file", start.alias("start"), "ids")
 
 
-def digests(spark: SparkSession, files: list[tuple[str, int, int]]) -> DataFrame:
+def digests(files: DataFrame) -> DataFrame:
     """Per document ``doc_id, start, n_tokens, ids_crc32``, read from the files."""
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
 
@@ -98,9 +123,8 @@ def digests(spark: SparkSession, files: list[tuple[str, int, int]]) -> DataFrame
                 with existing_file(row["file"]) as source:
                     yield from _read(TokenFile(source), row["start"], names)
 
-    listed = spark.createDataFrame(files, "file string, start long, ids long")
-    spread = listed.repartition(max(1, min(len(files), 10_000)))
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    readers = max(1, min(files.count(), MOST_READERS))
+    return files.repartition(readers).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _read(file: TokenFile, start: int, names: list[str]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paytally.llm.common import MB, materialised
@@ -42,6 +42,8 @@ SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest
 # Pages carry no time of capture.
 DATE = "1970-01-01T00:00:00Z"
 ROWS_PER_BATCH = 512
+# Packages are read back in at most this many tasks.
+MOST_READERS = 10_000
 READ = (
     "page_id long, url string, payload_bytes long, payload_digest string, "
     "record_type string, refers_to long"
@@ -103,16 +105,21 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) ->
     return gzip.compress(whole, 1, mtime=0)
 
 
-def write(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> list[str]:
-    """Write a record per page into packages below ``folder``; return their paths."""
+def write(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
+    """Write a record per page into packages below ``folder``; return their ``path``s.
+
+    The list is a written table. A package has the name of the attempt that wrote it;
+    only those of attempts that ended well are listed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
+        task = TaskContext.get()
+        part, attempt = task.partitionId(), task.taskAttemptId()
         held: list[bytes] = []
         paths: list[str] = []
 
         def flush() -> None:
-            paths.append(f"{folder}/pages-{part:06d}-{len(paths):06d}.wacz")
+            paths.append(f"{folder}/pages-{part:06d}-{attempt}-{len(paths):06d}.wacz")
             lines, at = [], 0
             for data in held:
                 lines.append(json.dumps({"offset": at, "length": len(data)}))
@@ -136,8 +143,7 @@ def write(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) ->
             flush()
         yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], names=["path"])
 
-    rows = with_record_types(pages).mapInArrow(run, "path string").collect()
-    return sorted(row.path for row in rows)
+    return materialised(with_record_types(pages).mapInArrow(run, "path string"), "packages")
 
 
 def _headers(lines: bytes) -> dict[str, str]:
@@ -204,8 +210,12 @@ def _row(data: bytes) -> tuple:
     return page_id, url, size, digest, kind, refers_to
 
 
-def read(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per record of the packages; payloads are checked against their digests."""
+def read(paths: DataFrame) -> DataFrame:
+    """One row per record of the packages (``path``s); payloads are checked against their digests.
+
+    A url comes back as it stands in the record: what would break the header line, and
+    all but ASCII, is percent-escaped there.
+    """
     names = [field.split()[0] for field in READ.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
@@ -227,5 +237,5 @@ def read(spark: SparkSession, paths: list[str]) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    return listed.repartition(max(1, min(len(paths), 10_000))).mapInArrow(run, READ)
+    readers = max(1, min(paths.count(), MOST_READERS))
+    return paths.select("path").repartition(readers).mapInArrow(run, READ)

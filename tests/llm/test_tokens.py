@@ -155,10 +155,10 @@ def expected_tokens(rows, name, end):
 def test_token_files_of_odd_rows(spark, docs, odd, tmp_path):
     path = public.path("word_bpe_49k.json")
     files = token_files.write(docs(*odd), f"file://{tmp_path}/t", path, 1, ids_per_file=30)
-    assert len(files) > 3
+    assert files.count() > 3
     found = sorted(
         (r.start, r.doc_id, r.n_tokens, r.ids_crc32)
-        for r in token_files.digests(spark, files).collect()
+        for r in token_files.digests(files).collect()
     )
     ordered = sorted(odd, key=lambda r: (r[0] is not None, r[0] or 0))
     start, want = 0, []
@@ -167,7 +167,26 @@ def test_token_files_of_odd_rows(spark, docs, odd, tmp_path):
         start += len(ids)
     assert found == want
     none = token_files.write(docs(*odd).limit(0), f"file://{tmp_path}/e", path, 1)
-    assert none == [] and token_files.digests(spark, none).collect() == []
+    assert none.collect() == [] and token_files.digests(none).collect() == []
+
+
+def test_token_files_of_one_id_are_spread(spark, tmp_path, monkeypatch):
+    path = public.path("word_bpe_49k.json")
+    rows = [(None, "the same words")] * 300 + [(7, f"words {i % 50}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(token_files, "partitions", lambda df, size: 16)
+    files = token_files.write(frame, f"file://{tmp_path}/t", path, 1)
+    parts = files.orderBy("start").collect()
+    assert len(parts) >= 8  # no task holds all rows of an id, nor all equal ones
+    assert max(r.ids for r in parts) < sum(r.ids for r in parts) / 4
+    assert [r.start for r in parts] == list(np.cumsum([0] + [r.ids for r in parts])[:-1])
+    found = sorted(token_files.digests(files).collect(), key=lambda r: r.start)
+    ids = [len(ids) for _, ids in expected_tokens(rows, "word_bpe_49k.json", 1)]
+    assert [r.doc_id for r in found] == [None] * 300 + [7] * 300
+    assert sorted(r.n_tokens for r in found) == sorted(ids)
+    assert [r.start for r in found] == list(np.cumsum([0] + [r.n_tokens for r in found])[:-1])
+    hashed = [r.ids_crc32 for r in found if r.doc_id == 7]
+    assert len([1 for a, b in zip(hashed, hashed[1:], strict=False) if a != b]) == 49
 
 
 def test_op4(spark, texts):
