@@ -1,20 +1,29 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by the order of its nearest pivots. It is posted in the
-inverted file of each of its ``depth`` nearest pivots; a query looks into the files of
-its ``probes`` nearest ones, ranks what it finds there by the footrule distance of the
-two orders, and reranks the nearest ``share`` of each file by the inner product of the
-original vectors. The best of all its files are its answer.
+A vector is represented by the order of its ``depth`` nearest pivots, and posted with its
+place in the inverted file of each of them. A query opens the files of its ``probes``
+nearest pivots; what it finds there is ranked by the footrule distance of the two orders,
+and the first ``share`` of all vectors are reranked by the inner product of the originals.
 
-The pivots are a sample of the distinct vectors (all directions of a dense region get
-some, so the files of a crowded region are divided like others); their number grows
-with the square root of the table, so a file grows with it as well. Files of over
-``FILE_ROWS`` vectors are dealt into blocks, each searched by a task of its own.
+Orders know directions only, but the inner product grows with a vector's length, so the
+likeness of two orders (the largest footrule distance less theirs) counts with its square
+root times the length.
+
+The index is kept in blocks of ``BLOCK_ROWS`` vectors, dealt by row number, each with
+inverted files of its own. A block is searched for ``QUERY_ROWS`` queries at a time, and
+gives each query its ``k`` best, so each vector and each query is sent whole to the
+blocks it meets and to no file. Crowded regions are divided evenly, as blocks do not
+follow directions.
+
+The pivots are a sample of the distinct vectors; their number grows with the square root of
+the table, as far as they fit into ``PIVOT_BYTES``.
 
 Defined results for odd input: vectors that are null, empty, zero, of another length
-than most pivots', or hold null or non-finite components take no part; equal scores go
-to the smaller id; repeated ids are separate rows; an empty table gives none; a query
-is never its own neighbour.
+than most, or hold null or non-finite components take no part; equal scores go to the
+smaller id (null first), and equal vectors are ranked alike, so none of them is left out
+for another; repeated and null ids are separate rows; columns beside ``vec_id`` and
+``embedding`` are ignored, whatever their names; an empty table gives no rows; a query is
+never its own neighbour.
 """
 
 from __future__ import annotations
@@ -23,20 +32,23 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paytally.llm.common import materialised
 
 LEAST_PIVOTS = 256
-DEPTH, PROBES, SHARE = 24, 16, 0.75
-# A posting file is searched in blocks of at most about this many vectors.
-FILE_ROWS = 8192
-# Queries of a block are searched this many at a time.
-QUERY_ROWS = 4096
-FOUND = "query_id long, vec_id long, score double"
+PIVOT_BYTES = 32 << 20
+DEPTH, PROBES, SHARE = 32, 32, 0.25
+# At least this many of a block are reranked, if a query meets as many.
+LEAST_RERANKED = 512
+# Vectors of a block, and queries that are sent there at once.
+BLOCK_ROWS, QUERY_ROWS = 65_536, 16_384
+# Smaller tables are dealt to fewer tasks than there are cores.
+LEAST_BLOCK_ROWS = 2048
+FOUND = "query_id long, query_row long, vec_id long, row long, score double"
 
 
 def usable(embedding: Column) -> Column:
@@ -60,12 +72,7 @@ def choose_pivots(vectors: DataFrame, count: int, total: int) -> np.ndarray:
     drawn = distinct.where(F.pmod("h", F.lit(1 << 40)) < int(rate * (1 << 40)))
     rows = (drawn if rate < 1 else distinct).orderBy("h").limit(count).collect()
     rows = rows or distinct.orderBy("h").limit(count).collect()
-    pivots = [np.asarray(row.vector) for row in rows]
-    if not pivots:
-        return np.zeros((0, 0))
-    dims = np.array([len(p) for p in pivots])
-    usual = np.bincount(dims).argmax()
-    chosen = np.stack([p for p in pivots if len(p) == usual])
+    chosen = np.array([row.vector for row in rows], np.float64)
     return chosen / np.linalg.norm(chosen, axis=1, keepdims=True)
 
 
@@ -78,40 +85,75 @@ def _orders(matrix: np.ndarray, pivots: np.ndarray, depth: int) -> np.ndarray:
     return np.take_along_axis(first, order, axis=1).astype(np.int32)
 
 
-def posted(vectors: DataFrame, pivots: np.ndarray, depth: int) -> DataFrame:
-    """``vec_id, vector, pivots``: the order of nearest pivots of each vector."""
+def _matrix(lists: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Lists of equal lengths as rows."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def with_orders(vectors: DataFrame, pivots: np.ndarray, depth: int) -> DataFrame:
+    """``vectors`` (whose ``vector``s have the pivots' length) with their ``pivots`` in order."""
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = shared.value.shape[1]
         for batch in batches:
-            lists = batch.column(1)
-            batch = batch.filter(pa.compute.equal(pa.compute.list_value_length(lists), size))
             if not batch.num_rows:
                 continue
-            matrix = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-            found = _orders(matrix, shared.value, depth)
+            found = _orders(_matrix(batch.column("vector")), shared.value, depth)
             ends = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
-            new = pa.ListArray.from_arrays(ends, pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), new], names=["vec_id", "vector", "pivots"]
+            yield batch.append_column(
+                "pivots", pa.ListArray.from_arrays(ends, pa.array(found.ravel()))
             )
 
-    return vectors.select("vec_id", "vector").mapInArrow(
-        run, "vec_id long, vector array<double>, pivots array<int>"
-    )
-
-
-def footrule_costs(query: np.ndarray, pivots: int, depth: int) -> np.ndarray:
-    """(pivot, position) -> what an order with that pivot there adds to the distance.
-
-    A pivot that only one order has counts as moved to the end of the other. The sum
-    over an order's pivots is its footrule distance less the same constant for all.
-    """
-    place = np.full(pivots, depth, np.int32)
-    place[query] = np.arange(len(query))
-    moved = np.abs(place[:, None] - np.arange(depth))
-    return (moved - (depth - place)[:, None]).astype(np.int16)
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema]
+    return vectors.mapInArrow(run, ", ".join([*kinds, "pivots array<int>"]))
+
+
+class Block:
+    """Vectors with the inverted files of their pivots."""
+
+    def __init__(self, vectors: np.ndarray, orders: np.ndarray, pivots: int) -> None:
+        self.vectors, self.depth = vectors, orders.shape[1]
+        largest = np.abs(vectors).max(axis=1, initial=0).astype(np.float64)
+        scaled = vectors / largest[:, None]
+        self.lengths = largest * np.sqrt(np.einsum("ij,ij->i", scaled, scaled))
+        by_pivot = np.argsort(orders.ravel(), kind="stable")
+        self.members, self.places = np.divmod(by_pivot, self.depth)
+        self.ends = np.searchsorted(orders.ravel()[by_pivot], np.arange(pivots + 1))
+
+    def likeness(self, opened: np.ndarray) -> np.ndarray:
+        """How alike the orders of all vectors are to one that begins with ``opened``.
+
+        A pivot at places i and j of two orders adds depth - max(i, j); with all pivots
+        opened, twice the sum is what their footrule distance lacks to the largest one
+        (a pivot that one order lacks counts as at its end).
+        """
+        files = [slice(self.ends[p], self.ends[p + 1]) for p in opened]
+        sizes = [f.stop - f.start for f in files]
+        places = np.concatenate([self.places[f] for f in files])
+        later = np.maximum(places, np.repeat(np.arange(len(files)), sizes))
+        members = np.concatenate([self.members[f] for f in files])
+        return np.bincount(members, self.depth - later, len(self.vectors))
+
+    def candidates(self, opened: np.ndarray, most: int) -> np.ndarray:
+        """The ``most`` first by likeness and length, and those that rank like the last."""
+        alike = self.likeness(opened)
+        met = np.flatnonzero(alike)
+        if len(met) <= most:
+            return met
+        rank = self.lengths[met] * np.sqrt(alike[met])
+        return met[rank >= np.partition(rank, len(rank) - most)[len(rank) - most]]
+
+    def best(self, near: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` of ``near`` (ascending) with the largest inner products, and these."""
+        scores = np.einsum("ij,j->i", self.vectors[near].astype(np.float64), vector)
+        if len(near) > k:
+            some = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+            # Rows ascend by id, so a stable sort leaves ties to the smaller ones.
+            some = some[np.argsort(-scores[some], kind="stable")[:k]]
+            near, scores = near[some], scores[some]
+        return near, scores
 
 
 def nearest(
@@ -122,112 +164,83 @@ def nearest(
     depth: int = DEPTH,
     probes: int = PROBES,
     share: float = SHARE,
-    file_rows: int = FILE_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """The ``k`` nearest of ``vectors`` (vec_id, embedding) to each row with ``queries``.
 
-    Returns ``query_id, rank, vec_id, score``. ``share`` of each file and ``8 * k`` at
-    least are reranked. With so few vectors that most lie in every file, all are found.
+    Returns ``query_id, rank, vec_id, score``. Of each block ``share``, ``8 * k`` and
+    ``LEAST_RERANKED`` at least are reranked. Orders hold more than ``k`` pivots, each of
+    which is a vector that the query meets, so it finds ``k`` where there are as many.
     """
     spark = vectors.sparkSession
-    embedding = F.col("embedding").cast("array<double>")
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    # Whole floats are sent as such; all is computed in doubles.
+    embedding = F.col("embedding").cast("array<float>" if kind == "array<float>" else "array<double>")
     clean = vectors.where(usable(embedding)).select(
-        F.col("vec_id").cast("long").alias("vec_id"), embedding.alias("vector")
+        F.col("vec_id").cast("long").alias("vec_id"),
+        embedding.alias("vector"),
+        F.coalesce(queries, F.lit(False)).alias("is_query"),
     )
-    count = clean.count()
-    chosen = choose_pivots(clean, pivots or max(LEAST_PIVOTS, math.isqrt(count)), count)
-    if not len(chosen):
+    sizes = clean.groupBy(F.size("vector").alias("size")).count()
+    usual = sizes.orderBy(F.desc("count"), "size").first()
+    if usual is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    total, wide = len(chosen), min(probes, len(chosen))
-    if len(chosen) >= count:
-        wide = len(chosen)  # every vector is a pivot: look everywhere
-        depth = len(chosen)
+    size, count = usual["size"], usual["count"]
+    clean = clean.where(F.size("vector") == size)
+    wanted = pivots or min(math.isqrt(count), PIVOT_BYTES // (8 * size))
+    chosen = choose_pivots(clean, wanted if pivots else max(LEAST_PIVOTS, wanted, k + 1), count)
+    total = len(chosen)
+    depth = min(max(depth, k + 1), total)
+    wide = min(max(probes, k + 1), depth)
     index = materialised(
-        posted(clean, chosen, depth)
-        .withColumn("is_query", F.coalesce(queries, F.lit(False)))
-        .withColumn("row", F.monotonically_increasing_id()),
-        "postings",
+        with_orders(clean, chosen, depth).withColumn("row", F.monotonically_increasing_id()),
+        "permutations",
     )
 
-    files = index.select(F.explode("pivots").alias("pivot")).groupBy("pivot").count()
-    asked = index.where("is_query").select(F.explode(F.slice("pivots", 1, wide)).alias("pivot"))
-    asked = asked.groupBy("pivot").agg(F.count("*").alias("queries"))
-    # One row per pivot; their number is bounded by that of the pivots.
-    blocks = F.broadcast(
-        files.join(asked, "pivot").select(
-            "pivot",
-            F.ceil(F.col("count") / file_rows).cast("int").alias("blocks"),
-            F.ceil(F.col("queries") / QUERY_ROWS).cast("int").alias("rounds"),
-        )
-    )
-    lists = index.select(
-        "row", "vec_id", "vector", "pivots", F.explode("pivots").alias("pivot")
+    few = min(2 * spark.sparkContext.defaultParallelism, math.ceil(count / LEAST_BLOCK_ROWS))
+    blocks = max(math.ceil(count / block_rows), few)
+    asked = index.where("is_query").drop("is_query")
+    rounds = max(1, math.ceil(asked.count() / query_rows))
+    every_round = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round")
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    held = index.drop("is_query").select(
+        "*", F.pmod("row", F.lit(blocks)).cast("int").alias("block"), every_round
     )
-    own = F.pmod(F.xxhash64("vec_id", "row"), F.col("blocks")).cast("int").alias("block")
-    every = F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("round")
-    lists = lists.join(blocks, "pivot").select(
-        "pivot", own, every, "vec_id", "row", "vector", "pivots"
-    )
-    probing = index.where("is_query").select(
-        "row", "vec_id", "vector", "pivots", F.explode(F.slice("pivots", 1, wide)).alias("pivot")
-    ).join(blocks, "pivot")
-    turn = F.pmod(F.xxhash64("vec_id", "row"), F.col("rounds")).cast("int").alias("round")
-    spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    renamed = {"asked_id": "vec_id", "asked_row": "row", "asked": "vector", "order": "pivots"}
-    probing = probing.select(
-        F.col("pivot").alias("pivot"),
-        turn,
-        spread,
-        *(F.col(old).alias(new) for new, old in renamed.items()),
+    asking = asked.select(
+        "*", F.pmod(F.xxhash64("row"), F.lit(rounds)).cast("int").alias("round"), every_block
     )
 
-    def search(asking: pd.DataFrame, file: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "query_row", "vec_id", "row", "score"]
-        if not len(asking) or not len(file):
-            return pd.DataFrame({n: [] for n in names}).astype(
-                {n: "int64" for n in names[:4]} | {"score": "float64"}
-            )
-        file = file.sort_values(["vec_id", "row"], kind="stable")
-        ids, rows = file["vec_id"].to_numpy(), file["row"].to_numpy()
-        matrix, orders = np.stack(file["vector"].to_numpy()), np.stack(file["pivots"].to_numpy())
-        places = orders * orders.shape[1] + np.arange(orders.shape[1], dtype=np.int32)
-        most = min(len(ids), max(math.ceil(share * len(ids)), 8 * k))
-        parts = []
-        for asked_id, asked_row, vector, order in asking[
-            list(renamed)
-        ].itertuples(index=False):
-            near = np.arange(len(ids))
-            if most < len(ids):
-                costs = footrule_costs(np.asarray(order), total, orders.shape[1]).ravel()
-                distance = costs[places].sum(axis=1, dtype=np.int32)
-                near = np.sort(np.argpartition(distance, most - 1)[:most])
-            near = near[rows[near] != asked_row]
-            scores = np.einsum("ij,j->i", matrix[near], np.asarray(vector))
-            if len(near) > k:
-                edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-                some = np.flatnonzero(scores >= edge)
-                # Ids ascend, so a stable sort leaves ties to the smaller ones.
-                some = some[np.argsort(-scores[some], kind="stable")[:k]]
-                near, scores = near[some], scores[some]
-            parts.append((asked_id, asked_row, ids[near], rows[near], scores))
-        sizes = [len(p[2]) for p in parts]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat([p[0] for p in parts], sizes),
-                "query_row": np.repeat([p[1] for p in parts], sizes),
-                "vec_id": np.concatenate([p[2] for p in parts]),
-                "row": np.concatenate([p[3] for p in parts]),
-                "score": np.concatenate([p[4] for p in parts]),
-            }
-        )
-
-    keys = ["pivot", "block", "round"]
-    schema = "query_id long, query_row long, vec_id long, row long, score double"
-    found = probing.groupBy(*keys).cogroup(lists.groupBy(*keys)).applyInPandas(search, schema)
-    # A pair is found in several files: it counts once.
-    once = found.groupBy("query_id", "query_row", "vec_id", "row").agg(
-        F.max("score").alias("score")
-    )
+    def search(asking: pa.Table, held: pa.Table) -> pa.Table:
+        order = [("vec_id", "ascending"), ("row", "ascending")]
+        held = held.take(pc.sort_indices(held, order, null_placement="at_start"))
+        ids, rows = held.column("vec_id"), held.column("row").to_numpy()
+        asked_ids, asked_rows = asking.column("vec_id"), asking.column("row").to_numpy()
+        places, found, scores = [], [], []
+        if len(rows) and len(asked_rows):
+            block = Block(_matrix(held.column("vector")), _matrix(held.column("pivots")), total)
+            most = max(math.ceil(share * len(rows)), 8 * k, LEAST_RERANKED)
+            vectors = _matrix(asking.column("vector")).astype(np.float64)
+            opened = _matrix(asking.column("pivots"))[:, :wide]
+            for place, row in enumerate(asked_rows):
+                near = block.candidates(opened[place], most)
+                near, products = block.best(near[rows[near] != row], vectors[place], k)
+                places.append(np.full(len(near), place))
+                found.append(near)
+                scores.append(products)
+        place = np.concatenate([np.zeros(0, np.int64), *places])
+        near = np.concatenate([np.zeros(0, np.int64), *found])
+        columns = [
+            asked_ids.take(pa.array(place)),
+            pa.array(asked_rows[place]),
+            ids.take(pa.array(near)),
+            pa.array(rows[near]),
+            pa.array(np.concatenate([np.zeros(0), *scores])),
+        ]
+        return pa.table(columns, names=["query_id", "query_row", "vec_id", "row", "score"])
+
+    keys = ["block", "round"]
+    found = asking.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(search, FOUND)
     best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id", "row")
-    ranked = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -73,32 +73,69 @@ def test_blocks_and_hot_vectors_change_no_answer(spark):
     rows += [(300 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(150)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
 
-    def search(file_rows):
+    def search(block_rows, query_rows):
         found = permutation_index.nearest(
             frame, F.col("vec_id") % 20 == 0, 5, pivots=32, depth=32, probes=32, share=1.0,
-            file_rows=file_rows,
+            block_rows=block_rows, query_rows=query_rows,
         )
         return sorted((r.query_id, r.rank, r.vec_id) for r in found.collect())
 
     want = dict(brute(rows, 5, lambda i: i % 20 == 0))
     exact = sorted((q, k, v) for q, found in want.items() for k, (v, _) in enumerate(found, 1))
-    assert search(8192) == exact
-    assert search(50) == exact
+    assert search(8192, 8192) == exact
+    assert search(50, 8192) == exact
+    assert search(50, 4) == exact
 
 
-def test_footrule_costs_order_as_the_distance():
+@pytest.mark.parametrize("sigma", [0.0, 1.0])
+def test_recall_where_lengths_vary(spark, sigma):
+    rng = np.random.default_rng(2)
+    matrix = rng.normal(size=(6000, 32))
+    matrix *= (np.exp(sigma * rng.normal(size=6000)) / np.linalg.norm(matrix, axis=1))[:, None]
+    frame = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(matrix.tolist())], "vec_id long, embedding array<double>"
+    )
+    found = permutation_index.nearest(frame, F.col("vec_id") % 20 == 0, 20).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for q in range(0, 6000, 20):
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        assert len(got[q]) == 20
+        hits.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.95
+
+
+def test_copies_and_null_ids_are_found(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(3000)]
+    rows += [(5000 + i, rows[7][1]) for i in range(1500)] + [(None, rows[7][1]), (8000, [1.0] * 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = permutation_index.nearest(frame, F.expr("vec_id in (7, 5999, 8000)"), 10).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    least = [None, 7, *range(5000, 5020)]
+    assert set(got) == {7, 5999}  # a vector of another length takes no part
+    for q, ids in got.items():
+        longer = [i for i in ids if i is not None and i != 7 and i < 5000]
+        copies = [i for i in ids if i not in longer]
+        assert copies == [i for i in least if i != q][: len(copies)]
+
+
+def test_likeness_is_what_the_footrule_distance_lacks():
     def distance(a, b, pivots, depth):
         place = {p: i for i, p in enumerate(a)}, {p: i for i, p in enumerate(b)}
         return sum(abs(place[0].get(p, depth) - place[1].get(p, depth)) for p in range(pivots))
 
     rng = random.Random(0)
     query = rng.sample(range(12), 5)
-    costs = permutation_index.footrule_costs(np.array(query), 12, 5)
     orders = [rng.sample(range(12), 5) for _ in range(50)]
-    gaps = {
-        int(sum(costs[p, i] for i, p in enumerate(o))) - distance(query, o, 12, 5) for o in orders
-    }
-    assert len(gaps) == 1
+    block = permutation_index.Block(np.ones((50, 3)), np.array(orders), 12)
+    alike = block.likeness(np.array(query))
+    assert [30 - 2 * a for a in alike] == [distance(query, o, 12, 5) for o in orders]
 
 
 PAGE = """<!DOCTYPE html><html><head><title>Not this</title><style>p{}</style></head><body>
