@@ -65,22 +65,32 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
             some = mine[begin : begin + 256]
             part = rest[some]
             mask = np.uint32((1 << width) - 1)
-            packed = _pack(part & mask, width) if width else np.zeros((len(some), 0), np.uint8)
-            for k, block in enumerate(some):
-                where = np.flatnonzero(part[k] > mask)
-                head = np.array([(least[block], width, 0, len(where))], _HEAD)
-                high = part[k][where] >> np.uint32(width) if width < 32 else part[k][where]
+            packed = _pack(part & mask, width).tobytes() if width else b""
+            owner, where = np.nonzero(part > mask)  # none of 32 bits
+            high = (part[owner, where] >> np.uint32(min(width, 31))).astype("<u4").tobytes()
+            place = where.astype("<u2").tobytes()
+            ends = np.searchsorted(owner, np.arange(len(some) + 1)).tolist()
+            heads = np.zeros(len(some), _HEAD)
+            heads["least"], heads["width"], heads["outliers"] = least[some], width, np.diff(ends)
+            head, size, wide = heads.tobytes(), _HEAD.itemsize, BLOCK // 8 * width
+            for k, block in enumerate(some.tolist()):
+                a, b = ends[k], ends[k + 1]
                 out[block] = b"".join(
                     (
-                        head.tobytes(),
-                        packed[k].tobytes(),
-                        where.astype("<u2").tobytes(),
-                        high.astype("<u4").tobytes(),
+                        head[size * k : size * (k + 1)],
+                        packed[wide * k : wide * (k + 1)],
+                        place[2 * a : 2 * b],
+                        high[4 * a : 4 * b],
                     )
                 )
     return out
 
 
+def _numbers(raw: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The little-endian numbers of ``size`` bytes that begin at ``at``."""
+    return raw[at[:, None] + np.arange(size)].copy().view(f"<u{size}")[:, 0]
+
+
 def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     """The ids of the blocks that begin at ``starts`` in ``data``, in turn."""
     out = np.zeros((len(starts), BLOCK), np.uint32)
@@ -96,12 +106,12 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
             if width:
                 at = starts[some][:, None] + size + np.arange(BLOCK // 8 * width)
                 out[some] = _unpack(raw[at], width)
-            for block in some[heads["outliers"][some] > 0]:
-                n = int(heads["outliers"][block])
-                at = int(starts[block]) + size + BLOCK // 8 * width
-                where = np.frombuffer(data, "<u2", n, at)
-                high = np.frombuffer(data, "<u4", n, at + 2 * n)
-                out[block, where] |= high << np.uint32(width)
+            counts = heads["outliers"][some].astype(np.int64)
+            lists = np.repeat(starts[some] + size + BLOCK // 8 * width, counts)
+            order = np.arange(len(lists)) - np.repeat(np.cumsum(counts) - counts, counts)
+            where = _numbers(raw, lists + 2 * order, 2)
+            high = _numbers(raw, lists + 2 * np.repeat(counts, counts) + 4 * order, 4)
+            out[np.repeat(some, counts), where] |= high << np.uint32(min(width, 31))
     return (out + heads["least"][:, None]).ravel()
 
 
