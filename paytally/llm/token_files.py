@@ -32,7 +32,8 @@ IDS_PER_FILE = 2_000_000
 PART_BYTES = 6 * MB
 # Larger tables have larger tasks, which write more files each.
 MOST_PARTS = 20_000
-# The files are read back in at most this many tasks.
+# The files are read back in tasks of about this many ids, in at most so many tasks.
+READ_IDS = 8_000_000
 MOST_READERS = 10_000
 # Documents are read back this many ids at a time.
 IDS_PER_READ = 1_000_000
@@ -123,8 +124,10 @@ def digests(files: DataFrame) -> DataFrame:
                 with existing_file(row["file"]) as source:
                     yield from _read(TokenFile(source), row["start"], names)
 
-    readers = max(1, min(files.count(), MOST_READERS))
-    return files.repartition(readers).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    held = files.agg(F.count("*").alias("files"), F.sum("ids").alias("ids")).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    wanted = max((held["ids"] or 0) // READ_IDS, min(held["files"], cores), 1)
+    return files.repartition(min(wanted, MOST_READERS)).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _read(file: TokenFile, start: int, names: list[str]) -> Iterator[pa.RecordBatch]:
