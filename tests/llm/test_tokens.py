@@ -152,6 +152,14 @@ def expected_tokens(rows, name, end):
         yield doc_id, np.array([*library.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
+@given(st.text(alphabet=" \n\t.,a'sZÉ1²漢\x1c\xa0\u0301-", max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_words_cut_at_full_stops_have_the_ids_of_the_text(text):
+    path = public.path("word_bpe_49k.json")
+    found = [ids.tolist() for ids in library_encoder(definition(path)).encode([text])]
+    assert found == [Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids]
+
+
 def test_token_files_of_odd_rows(spark, docs, odd, tmp_path):
     path = public.path("word_bpe_49k.json")
     files = token_files.write(docs(*odd), f"file://{tmp_path}/t", path, 1, ids_per_file=30)
