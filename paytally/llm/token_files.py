@@ -100,7 +100,7 @@ def write(
     files = materialised(
         encoded.mapInArrow(run, "part long, k long, file string, ids long"), "token_lists"
     )
-    return _with_starts(files)
+    return materialised(_with_starts(files), "token_files")
 
 
 def _with_starts(files: DataFrame) -> DataFrame:
